@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pannier.operators.candidates import build_candidates
+from pannier.operators.model import features, fit_ranker
 from pannier.operators.prepare import build_master, split_column
 from pannier.operators.rules import generate_rules, one_to_one
 from pannier.sources.scratch import Scratch
@@ -31,6 +33,7 @@ class Stages:
         min_support: float = 0.01,
         min_confidence: float = 0.15,
         seed: int = 42,
+        rounds: int = 500,
     ):
         self.spark = spark
         self.scratch = Scratch.of(spark)
@@ -38,6 +41,7 @@ class Stages:
         self.min_support = min_support
         self.min_confidence = min_confidence
         self.seed = seed
+        self.rounds = rounds
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -80,3 +84,8 @@ class Stages:
     def candidates(self, split: str = "test") -> DataFrame:
         """Candidates of one split."""
         return self._candidates.filter(F.col("split") == split).drop("split")
+
+    @cached_property
+    def ranker(self) -> PipelineModel:
+        """The ranker fitted on the training candidates."""
+        return fit_ranker(features(self.candidates("train")), self.rounds, seed=self.seed)

@@ -111,3 +111,11 @@ def star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "departments": star_departments(part),
     }
     return {name: df.select(*TABLES[name].names) for name, df in tables.items()}
+
+
+def star_type_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with the part type as product name; its baskets hold large itemsets."""
+    lineitem, part = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("lineitem", "part"))
+    return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_orderkey").alias("order_id"), F.col("p_type").alias("product_name")
+    )
