@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pannier.functions.expressions import bought_later
@@ -25,24 +25,57 @@ RECOMMENDED_NAMES = {
     "department": "recommended_department_name",
 }
 
+# Orders with more lines than this are cut into this many parts.
+HOT_LINES, PARTS = 10_000, 64
+
 
 def expand(lines: DataFrame, rules: DataFrame) -> DataFrame:
     """Every line once per rule whose antecedent is the line's product."""
     return lines.join(rules, lines.product_name == rules.antecedent).drop("antecedent")
 
 
-def look_up_outcome(expanded: DataFrame, lines: DataFrame) -> DataFrame:
-    """Add the cart position at which the order took the recommended product, if it did.
-
-    Both sides are spread by order and product, so an order with very many lines is
-    still worked on by many tasks.
-    """
+def look_up_outcome(expanded: DataFrame, lines: DataFrame, within: tuple[str, ...] = ("order_id",)) -> DataFrame:
+    """Add the cart position at which the order took the recommended product, if it did."""
     actual = lines.select(
-        "order_id",
+        *within,
         F.col("product_name").alias("consequent"),
         F.col("add_to_cart_order").alias("actual_add_to_cart_order"),
     )
-    return expanded.join(actual, ["order_id", "consequent"], "left")
+    return expanded.join(actual, [*within, "consequent"], "left")
+
+
+def _with_parts(lines: DataFrame, hot: DataFrame, parts_of_hot: Column) -> DataFrame:
+    """Lines once per ``part`` of their order they belong to; an ordinary order is one part."""
+    marked = lines.join(hot.withColumn("is_hot", F.lit(True)), "order_id", "left")
+    parts = F.when(F.col("is_hot"), parts_of_hot).otherwise(F.array(F.lit(0)))
+    return marked.withColumn("part", F.explode(parts)).drop("is_hot")
+
+
+def expand_and_look_up(lines: DataFrame, rules: DataFrame, hot_lines: int = HOT_LINES) -> DataFrame:
+    """``look_up_outcome(expand(lines, rules), lines)`` with the lines laid out by order first.
+
+    Lines are shuffled once, before they multiply; the candidates made of an order's
+    lines then meet the order's products where they are. Orders above ``hot_lines`` are
+    cut: each part takes some of the trigger lines and a copy of the products bought.
+    Only products that some rule recommends are kept for the lookup.
+    """
+    scratch = Scratch.of(lines.sparkSession)
+    recommended = rules.select(F.col("consequent").alias("product_name"))
+    triggers = lines.join(rules.select(F.col("antecedent").alias("product_name")), "product_name", "left_semi")
+    bought = lines.select("order_id", "product_name", "add_to_cart_order").join(
+        recommended, "product_name", "left_semi"
+    )
+    sizes = lines.groupBy("order_id").agg(F.count("*").alias("n_lines"))
+    hot = scratch.keep(sizes.filter(F.col("n_lines") > hot_lines).select("order_id"), "hot-orders")
+    if hot.isEmpty():
+        return look_up_outcome(expand(triggers.repartition("order_id"), rules), bought.repartition("order_id"))
+    one = F.pmod(F.xxhash64("product_id", "add_to_cart_order"), F.lit(PARTS)).cast("int")
+    triggers = _with_parts(triggers, hot, F.array(one))
+    bought = _with_parts(bought, hot, F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    within = ("order_id", "part")
+    return look_up_outcome(
+        expand(triggers.repartition(*within), rules), bought.repartition(*within), within
+    ).drop("part")
 
 
 def label(with_outcome: DataFrame) -> DataFrame:
@@ -61,15 +94,13 @@ def build_candidates(lines: DataFrame, rules: DataFrame) -> DataFrame:
     """Labelled candidates for ``lines`` under one-to-one ``rules``.
 
     The product attributes are joined to the rules rather than to the far larger
-    candidates, and only rule products are looked up in the orders.
+    candidates.
     """
     scratch = Scratch.of(lines.sparkSession)
     catalogue = scratch.keep(product_catalogue(lines), "catalogue")
     attributed = scratch.keep(add_attributes(rules, catalogue), "rules")
-    consequents = attributed.select(F.col("consequent").alias("product_name"))
-    outcomes = lines.join(consequents, "product_name", "left_semi")
     return (
-        label(look_up_outcome(expand(lines, attributed), outcomes))
+        label(expand_and_look_up(lines, attributed))
         .withColumnsRenamed(TRIGGER_NAMES)
         .select(*CANDIDATES.names)
     )

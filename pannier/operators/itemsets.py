@@ -107,9 +107,11 @@ def frequent_pairs(found: FrequentBaskets) -> DataFrame:
     """Unordered item pairs at or above the minimum support, ``item_a < item_b``.
 
     Each different basket is expanded once, whatever the number of orders that share
-    it, and its pairs are summed within the task before the sums are shuffled.
+    it, and its pairs are summed within the task before the sums are shuffled. The
+    folded baskets are small on disk but grow when expanded, so they are spread first.
     """
-    firsts = found.weighted.filter(F.size("codes") > 1).select(
+    tasks = int(found.weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    firsts = found.weighted.filter(F.size("codes") > 1).repartition(tasks, "codes").select(
         "orders", "codes", F.posexplode("codes").alias("at", "a")
     )
     rest = F.slice("codes", F.col("at") + 2, F.size("codes") - F.col("at") - 1)

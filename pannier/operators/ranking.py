@@ -13,15 +13,22 @@ from pannier.sources.scratch import Scratch
 GROUP = ["order_id", "trigger_product_id"]
 
 
-def top_k(scored: DataFrame, k: int, score: str = "score", group: list[str] = GROUP) -> DataFrame:
-    """The ``k`` best rows of every group with their ``rank``.
+def rank(scored: DataFrame, score: str = "score", group: list[str] = GROUP) -> DataFrame:
+    """Number the rows of every group from the best score down as ``rank``.
 
-    Ties go to the smaller product id, then to the earlier cart position. Filtering on
-    the rank lets Spark cut every group to ``k`` rows before the shuffle.
+    Ties go to the smaller product id, then to the earlier cart position.
     """
     ties = [c for c in ("recommended_product_id", "cart_size") if c in scored.columns]
     best_first = W.partitionBy(*group).orderBy(F.desc(score), *ties)
-    return scored.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(best_first))
+
+
+def top_k(scored: DataFrame, k: int, score: str = "score", group: list[str] = GROUP) -> DataFrame:
+    """The ``k`` best rows of every group with their ``rank``.
+
+    Filtering on the rank lets Spark cut every group to ``k`` rows before the shuffle.
+    """
+    return rank(scored, score, group).filter(F.col("rank") <= k)
 
 
 def first_recommendations(candidates: DataFrame) -> DataFrame:

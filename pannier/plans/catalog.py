@@ -21,7 +21,7 @@ from pannier.sources.tables import read_csv, write_table
 from pannier.sources.schemas import MASTER, TABLES
 
 SAMPLE_ORDERS, SAMPLE_USERS = 5000, 300
-THRESHOLD = 0.17  # decision threshold where the score is a confidence
+THRESHOLD = 0.16  # decision threshold where the score is a confidence
 ROUNDS = 5  # boosting rounds of the registered model queries
 RANGES = {
     "order_dow": (0, 6),
@@ -183,7 +183,7 @@ def purchased_flags(st: Stages) -> DataFrame:
 
 @query
 def rules_min_confidence(st: Stages) -> DataFrame:
-    return _flat(rules.filter_confidence(st.rules("train"), 0.2))
+    return _flat(rules.filter_confidence(st.rules("train"), 0.16))
 
 
 @query
@@ -366,7 +366,7 @@ def pair_rules_test(st: Stages) -> DataFrame:
 
 @query
 def mined_rules(st: Stages) -> DataFrame:
-    return _flat(rules.generate_rules(st.master, min_support=0.01, min_confidence=0.2))
+    return _flat(rules.generate_rules(st.master))
 
 
 # Profiling

@@ -157,7 +157,7 @@ def _add_rankings(x: str) -> None:
 
 _add_rules("train", "train_lines", 0.15)
 _add_rules("test", "test_lines", 0.15)
-_add_rules("all", "full_master", 0.2)
+_add_rules("all", "full_master", 0.15)
 _add_candidates("train", "train_lines", "train_rules")
 _add_candidates("test", "test_lines", "test_rules")
 _add_candidates("honest", "test_lines", "train_rules")
@@ -415,7 +415,7 @@ SQL: dict[str, str] = {
         FROM test_candidates GROUP BY 1""",
         "test_candidates",
     ),
-    "rules_min_confidence": _sql(f"SELECT {_RULE_COLUMNS} FROM train_rules WHERE confidence >= 0.2", "train_rules"),
+    "rules_min_confidence": _sql(f"SELECT {_RULE_COLUMNS} FROM train_rules WHERE confidence >= 0.16", "train_rules"),
     "rules_min_lift": _sql(f"SELECT {_RULE_COLUMNS} FROM train_rules WHERE lift >= 1.02", "train_rules"),
     "coerced_numbers": """SELECT p_partkey,
         coalesce(TRY_CAST(split_part(p_brand, '#', 2) AS DOUBLE), 0.0) AS brand_number,

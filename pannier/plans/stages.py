@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +16,12 @@ from pannier.operators.rules import generate_rules, one_to_one
 from pannier.sources.scratch import Scratch
 from pannier.sources.tables import build_clean_tables
 
-SPLITS = ("train", "test")
-
 
 class Stages:
     """Stage outputs over one set of input tables.
 
-    Master, rules and candidates are partitioned by split, so a scan of one split
-    prunes the other's files.
+    The master table is partitioned by split, so a scan of one split prunes the other's
+    files; rules and candidates are a table per split.
     """
 
     def __init__(
@@ -59,31 +57,21 @@ class Stages:
         """Master rows of one split."""
         return self.master.filter(F.col("split") == split).drop("split")
 
-    @cached_property
-    def _rules(self) -> DataFrame:
-        mined = [
-            generate_rules(self.lines(s), self.min_support, self.min_confidence).withColumn("split", F.lit(s))
-            for s in SPLITS
-        ]
-        return self.scratch.keep(mined[0].unionByName(mined[1]), "mined", ["split"])
-
+    @lru_cache(maxsize=None)
     def rules(self, split: str = "train") -> DataFrame:
         """Rules mined on one split."""
-        return self._rules.filter(F.col("split") == split).drop("split")
+        mined = generate_rules(self.lines(split), self.min_support, self.min_confidence)
+        return self.scratch.keep(mined, f"{split}-rules")
 
     def make_candidates(self, split: str, rules_from: str = "same_split") -> DataFrame:
         """Candidates of a split under its own rules, or under the training rules."""
         source = split if rules_from == "same_split" else rules_from
         return build_candidates(self.lines(split), one_to_one(self.rules(source)))
 
-    @cached_property
-    def _candidates(self) -> DataFrame:
-        made = [self.make_candidates(s).withColumn("split", F.lit(s)) for s in SPLITS]
-        return self.scratch.keep(made[0].unionByName(made[1]), "candidates", ["split"])
-
+    @lru_cache(maxsize=None)
     def candidates(self, split: str = "test") -> DataFrame:
         """Candidates of one split."""
-        return self._candidates.filter(F.col("split") == split).drop("split")
+        return self.scratch.keep(self.make_candidates(split), f"{split}-candidates")
 
     @cached_property
     def ranker(self) -> PipelineModel:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE picks join strategies from measured sizes and splits skewed join partitions.
+# AQE picks join strategies from measured sizes and splits skewed join partitions. Without
+# the co-partition setting a join on (order, product) would shuffle rows again that already
+# lie together by order.
 SETTINGS = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

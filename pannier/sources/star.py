@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from pannier.sources.schemas import TABLES
+from pannier.sources.scratch import Scratch
 
 
 def _part_products(part: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def star_orders(orders: DataFrame) -> DataFrame:
 
 def star_order_products(lineitem: DataFrame, part: DataFrame, numbered_orders: DataFrame) -> DataFrame:
     """One line per (order, brand), placed in the cart by its first line number."""
-    lines = (
+    placed = (
         lineitem.join(_part_products(part), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(F.col("l_orderkey").alias("order_id"), "product_id")
         .agg(F.min("l_linenumber").alias("line"))
@@ -89,6 +90,7 @@ def star_order_products(lineitem: DataFrame, part: DataFrame, numbered_orders: D
         )
         .join(numbered_orders.select("order_id", "user_id", "order_number"), "order_id", "left")
     )
+    lines = Scratch.of(lineitem.sparkSession).keep(placed, "placed-lines")
     first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
     return lines.join(first, ["user_id", "product_id"], "left").select(
         "order_id",
@@ -103,7 +105,7 @@ def star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     orders, lineitem, part = (
         spark.read.parquet(f"{folder}/{name}.parquet") for name in ("orders", "lineitem", "part")
     )
-    numbered = star_orders(orders)
+    numbered = Scratch.of(spark).keep(star_orders(orders), "numbered-orders")
     tables = {
         "orders": numbered,
         "order_products": star_order_products(lineitem, part, numbered),
