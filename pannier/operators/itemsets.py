@@ -8,6 +8,7 @@ and that also bounds how many of them one order can hold, however many lines it
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.fpm import FPGrowth
@@ -52,15 +53,20 @@ def item_support(lines: DataFrame) -> DataFrame:
 class FrequentBaskets:
     """Baskets cut down to the items that can be frequent.
 
-    ``items`` maps a code to a product name, ``per_order`` holds each order's sorted
-    codes, and ``weighted`` each different basket once with its number of orders.
+    ``items`` maps a code to a product name and ``per_order`` holds each order's sorted
+    codes.
     """
 
     n_orders: int
     min_support: float
     items: DataFrame
     per_order: DataFrame
-    weighted: DataFrame
+
+    @cached_property
+    def weighted(self) -> DataFrame:
+        """Each different basket once, with the number of orders that hold just it."""
+        folded = self.per_order.groupBy("codes").agg(F.count("*").alias("orders"))
+        return Scratch.of(folded.sparkSession).keep(folded, "baskets")
 
     def supported(self, counted: DataFrame) -> DataFrame:
         """Add ``support`` and keep the rows that reach the minimum."""
@@ -69,7 +75,7 @@ class FrequentBaskets:
 
 
 def frequent_baskets(lines: DataFrame, min_support: float = 0.01) -> FrequentBaskets:
-    """Prune infrequent items, then fold identical baskets together.
+    """Prune items that cannot be frequent and collect the others per order.
 
     An item's lines bound the orders it is in from above, so counting lines, which
     combines before the shuffle, is enough to drop items that cannot be frequent.
@@ -89,8 +95,7 @@ def frequent_baskets(lines: DataFrame, min_support: float = 0.01) -> FrequentBas
         .groupBy("order_id")
         .agg(F.sort_array(F.collect_set("code")).alias("codes"))
     )
-    weighted = scratch.keep(per_order.groupBy("codes").agg(F.count("*").alias("orders")), "baskets")
-    return FrequentBaskets(n_orders, min_support, items, per_order, weighted)
+    return FrequentBaskets(n_orders, min_support, items, per_order)
 
 
 def frequent_items(found: FrequentBaskets) -> DataFrame:
@@ -136,11 +141,11 @@ def frequent_pairs(found: FrequentBaskets) -> DataFrame:
 
 def frequent_itemsets(found: FrequentBaskets) -> DataFrame:
     """Itemsets of every size at or above the minimum support, with sorted item names."""
-    scratch = Scratch.of(found.weighted.sparkSession)
+    scratch = Scratch.of(found.per_order.sparkSession)
+    order_codes = scratch.keep(found.per_order.select("codes"), "order-codes")
     # FP-growth rounds its own threshold; half an order less, then the exact filter.
-    n_baskets = found.weighted.agg(F.coalesce(F.sum("orders"), F.lit(0)).alias("n")).first()["n"]
-    threshold = max(found.min_support * found.n_orders - 0.5, 0.0) / max(n_baskets, 1)
-    mined = FPGrowth(itemsCol="codes", minSupport=min(threshold, 1.0)).fit(found.per_order)
+    threshold = max(found.min_support * found.n_orders - 0.5, 0.0) / max(order_codes.count(), 1)
+    mined = FPGrowth(itemsCol="codes", minSupport=min(threshold, 1.0)).fit(order_codes)
     sets = scratch.keep(
         mined.freqItemsets.select(F.monotonically_increasing_id().alias("id"), F.col("items").alias("codes"), "freq"),
         "itemsets",

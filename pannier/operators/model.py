@@ -63,7 +63,8 @@ def fit_ranker(
 
     Products among the candidates are frequent items, which keeps the number of
     categories, and with it ``maxBins``, within the bound the mining sets. Trees of
-    depth 5 have up to 32 leaves. Boosting checkpoints every tenth round.
+    depth 5 have up to 32 leaves and are shallow enough to be walked again rather than
+    to cache each row's node. Boosting checkpoints every tenth round.
     """
     indexer = fit_indexer(train)
     bins = max(32, *[len(labels) + 2 for labels in indexer.labelsArray])
@@ -74,7 +75,6 @@ def fit_ranker(
         maxDepth=max_depth,
         maxBins=bins,
         minInstancesPerNode=20,
-        cacheNodeIds=True,
         checkpointInterval=10,
         seed=seed,
     )

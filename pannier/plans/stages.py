@@ -14,11 +14,11 @@ from pannier.operators.model import features, fit_ranker
 from pannier.operators.prepare import build_master, split_column
 from pannier.operators.rules import generate_rules, one_to_one
 from pannier.sources.scratch import Scratch
-from pannier.sources.tables import build_clean_tables
+from pannier.sources.tables import build_clean_tables, write_table
 
 
 class Stages:
-    """Stage outputs over one set of input tables.
+    """Stage outputs over one set of input tables, of all prior orders or ``n`` orders or users.
 
     The master table is partitioned by split, so a scan of one split prunes the other's
     files; rules and candidates are a table per split.
@@ -32,6 +32,8 @@ class Stages:
         min_confidence: float = 0.15,
         seed: int = 42,
         rounds: int = 500,
+        n: int | None = None,
+        unit: str = "order",
     ):
         self.spark = spark
         self.scratch = Scratch.of(spark)
@@ -40,6 +42,8 @@ class Stages:
         self.min_confidence = min_confidence
         self.seed = seed
         self.rounds = rounds
+        self.n = n
+        self.unit = unit
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -50,7 +54,9 @@ class Stages:
     def master(self) -> DataFrame:
         """The master table with its ``split`` column."""
         t = self.tables
-        master = build_master(t["orders"], t["order_products"], t["products"], t["departments"])
+        master = build_master(
+            t["orders"], t["order_products"], t["products"], t["departments"], self.n, self.seed, self.unit
+        )
         return self.scratch.keep(master.withColumn("split", split_column(seed=self.seed)), "master", ["split"])
 
     def lines(self, split: str) -> DataFrame:
@@ -73,6 +79,12 @@ class Stages:
         """Candidates of one split."""
         return self.scratch.keep(self.make_candidates(split), f"{split}-candidates")
 
+    def write(self, folder: str, form: str = "csv") -> None:
+        """Write the master table and the candidates of both splits to ``folder``."""
+        write_table(self.master.drop("split"), f"{folder}/master_orders.{form}", form)
+        for split in ("train", "test"):
+            write_table(self.candidates(split), f"{folder}/{split}_order_data.{form}", form)
+
     @cached_property
     def ranker(self) -> PipelineModel:
         """The ranker fitted on the training candidates."""

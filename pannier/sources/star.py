@@ -90,8 +90,12 @@ def star_order_products(lineitem: DataFrame, part: DataFrame, numbered_orders: D
         )
         .join(numbered_orders.select("order_id", "user_id", "order_number"), "order_id", "left")
     )
-    lines = Scratch.of(lineitem.sparkSession).keep(placed, "placed-lines")
-    first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
+    # Written, both sides of the last join are plain scans whose skew AQE can split.
+    scratch = Scratch.of(lineitem.sparkSession)
+    lines = scratch.keep(placed, "placed-lines")
+    first = scratch.keep(
+        lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number")), "first-bought"
+    )
     return lines.join(first, ["user_id", "product_id"], "left").select(
         "order_id",
         "product_id",

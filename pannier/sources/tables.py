@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pannier.sources.schemas import TABLES
 
+# Names of the raw files where they differ from the table names.
+RAW_NAMES = {"order_products": "order_products_prior"}
+# Quotes inside quoted text are doubled.
+CSV_FORM = {"header": "true", "quote": '"', "escape": '"'}
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Scan a CSV file with a header line under a declared schema."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Scan a CSV file under a declared schema, matching columns by their header names.
+
+    Spark assigns declared columns by position, so the header is read first to find
+    where they are; columns that are not declared are skipped.
+    """
+    header = spark.read.options(**CSV_FORM).csv(path).columns
+    missing = set(schema.names) - set(header)
+    if missing:
+        raise ValueError(f"{path} lacks the columns {sorted(missing)}")
+    in_file = [schema[name] if name in schema.names else StructField(name, StringType()) for name in header]
+    return spark.read.options(**CSV_FORM).schema(StructType(in_file)).csv(path).select(*schema.names)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -19,15 +33,18 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 
 
 def read_raw(spark: SparkSession, folder: str, form: str = "csv") -> dict[str, DataFrame]:
-    """The four input tables from ``folder``, as ``<name>.csv`` or ``<name>.parquet``."""
-    read = read_csv if form == "csv" else read_parquet
-    return {name: read(spark, f"{folder}/{name}.{form}", schema) for name, schema in TABLES.items()}
+    """The four input tables from ``folder``, as raw CSV or as clean Parquet tables."""
+    if form == "parquet":
+        return {name: read_parquet(spark, f"{folder}/{name}.parquet", schema) for name, schema in TABLES.items()}
+    return {
+        name: read_csv(spark, f"{folder}/{RAW_NAMES.get(name, name)}.csv", schema) for name, schema in TABLES.items()
+    }
 
 
 def write_table(df: DataFrame, path: str, form: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
     """Replace the table at ``path``; every task writes its own part file."""
     writer = df.write.mode("overwrite").partitionBy(*partition_by)
-    writer.option("header", True).csv(path) if form == "csv" else writer.parquet(path)
+    writer.options(**CSV_FORM).csv(path) if form == "csv" else writer.parquet(path)
 
 
 def build_clean_tables(raw: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:

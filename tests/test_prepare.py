@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 
 from conftest import master_lines
 from pannier.operators import prepare, profile
-from pannier.sources.schemas import ORDERS
-from pannier.sources.tables import build_clean_tables, read_raw, write_table
+from pannier.plans.stages import Stages
+from pannier.sources.schemas import CANDIDATES, DEPARTMENTS, ORDERS, PRODUCTS
+from pannier.sources.tables import RAW_NAMES, build_clean_tables, read_csv, read_raw, write_table
 
 
 def test_master_drops_lonely_orders_and_products_and_fills_days(shop):
@@ -111,12 +112,36 @@ def test_describe(spark):
     assert round(row["std"], 6) == 4.082483
 
 
+def test_csv_columns_go_by_name_and_quotes_double(spark, tmp_path):
+    text = 'product_id,product_name,aisle_id,department_id\n7,"Say ""Cheese"", please",61,19\n8,Plain,3,\n'
+    (tmp_path / "products.csv").write_text(text)
+    rows = read_csv(spark, f"{tmp_path}/products.csv", PRODUCTS).orderBy("product_id").collect()
+    assert [tuple(r) for r in rows] == [(7, 'Say "Cheese", please', 19), (8, "Plain", None)]
+    write_table(read_csv(spark, f"{tmp_path}/products.csv", PRODUCTS), f"{tmp_path}/again", "csv")
+    assert sorted(read_csv(spark, f"{tmp_path}/again", PRODUCTS).collect(), key=str) == sorted(rows, key=str)
+    with pytest.raises(ValueError):
+        read_csv(spark, f"{tmp_path}/products.csv", DEPARTMENTS)
+
+
 def test_csv_round_trip_and_clean_tables(shop, tmp_path):
     for name, df in shop.items():
-        write_table(df, f"{tmp_path}/{name}.csv", "csv")
+        write_table(df, f"{tmp_path}/{RAW_NAMES.get(name, name)}.csv", "csv")
     raw = read_raw(shop["orders"].sparkSession, str(tmp_path))
     clean = build_clean_tables(raw, f"{tmp_path}/clean")
     for name, df in shop.items():
         assert sorted(clean[name].collect(), key=str) == sorted(df.collect(), key=str)
     assert clean["orders"].schema.names == ORDERS.names
     assert clean["orders"].filter("days_since_prior_order IS NULL").count() == 2
+
+
+def test_stages_from_raw_csv_to_written_candidates(shop, tmp_path):
+    spark = shop["orders"].sparkSession
+    for name, df in shop.items():
+        write_table(df, f"{tmp_path}/raw/{RAW_NAMES.get(name, name)}.csv", "csv")
+    whole = Stages(spark, lambda: read_raw(spark, f"{tmp_path}/raw"))
+    assert whole.master.count() == 4
+    sampled = Stages(spark, lambda: read_raw(spark, f"{tmp_path}/raw"), n=1, unit="user")
+    assert sampled.master.select("order_id").distinct().count() in (0, 2)
+    whole.write(f"{tmp_path}/out")
+    written = [read_csv(spark, f"{tmp_path}/out/{s}_order_data.csv", CANDIDATES) for s in ("train", "test")]
+    assert sum(df.count() for df in written) == sum(whole.candidates(s).count() for s in ("train", "test"))
