@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pannier.functions.expressions import bought_later
+from pannier.functions.layout import spread
 from pannier.operators.prepare import assert_unique, product_catalogue
 from pannier.sources.schemas import CANDIDATES
 from pannier.sources.scratch import Scratch
@@ -68,14 +69,13 @@ def expand_and_look_up(lines: DataFrame, rules: DataFrame, hot_lines: int = HOT_
     sizes = lines.groupBy("order_id").agg(F.count("*").alias("n_lines"))
     hot = scratch.keep(sizes.filter(F.col("n_lines") > hot_lines).select("order_id"), "hot-orders")
     if hot.isEmpty():
-        return look_up_outcome(expand(triggers.repartition("order_id"), rules), bought.repartition("order_id"))
+        return look_up_outcome(expand(spread(triggers, "order_id"), rules), spread(bought, "order_id"))
     one = F.pmod(F.xxhash64("product_id", "add_to_cart_order"), F.lit(PARTS)).cast("int")
     triggers = _with_parts(triggers, hot, F.array(one))
     bought = _with_parts(bought, hot, F.sequence(F.lit(0), F.lit(PARTS - 1)))
     within = ("order_id", "part")
-    return look_up_outcome(
-        expand(triggers.repartition(*within), rules), bought.repartition(*within), within
-    ).drop("part")
+    expanded = expand(spread(triggers, *within), rules)
+    return look_up_outcome(expanded, spread(bought, *within), within).drop("part")
 
 
 def label(with_outcome: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pannier.functions.layout import spread
 from pannier.sources.scratch import Scratch
 
 
@@ -115,8 +116,7 @@ def frequent_pairs(found: FrequentBaskets) -> DataFrame:
     it, and its pairs are summed within the task before the sums are shuffled. The
     folded baskets are small on disk but grow when expanded, so they are spread first.
     """
-    tasks = int(found.weighted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    firsts = found.weighted.filter(F.size("codes") > 1).repartition(tasks, "codes").select(
+    firsts = spread(found.weighted.filter(F.size("codes") > 1), "codes").select(
         "orders", "codes", F.posexplode("codes").alias("at", "a")
     )
     rest = F.slice("codes", F.col("at") + 2, F.size("codes") - F.col("at") - 1)

@@ -40,7 +40,7 @@ def test_candidates_are_never_shuffled(st, conf):
     text = plan(cand.expand_and_look_up(lines, kept))
     assert "SortMergeJoin" in text
     shuffles = re.findall(r"Exchange hashpartitioning.*", text)
-    assert len(shuffles) == 2 and all("REPARTITION_BY_COL" in s for s in shuffles)
+    assert len(shuffles) == 2 and all("REPARTITION_BY_NUM" in s for s in shuffles)
 
 
 def test_rules_too_large_to_broadcast_are_shuffled(st, conf):
