@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from pannier.functions.layout import spread
 from pannier.sources.scratch import Scratch
 
+# First items of a basket that one task pairs with the others.
+WIDE = 1000
+
 
 def baskets(lines: DataFrame) -> DataFrame:
     """The different product names of every order, sorted.
@@ -114,12 +117,19 @@ def frequent_pairs(found: FrequentBaskets) -> DataFrame:
 
     Each different basket is expanded once, whatever the number of orders that share
     it, and its pairs are summed within the task before the sums are shuffled. The
-    folded baskets are small on disk but grow when expanded, so they are spread first.
+    folded baskets are small on disk but grow when expanded, so they are spread first;
+    a basket of more than ``WIDE`` items is cut into parts that each take up to ``WIDE``
+    of its items as first ones.
     """
-    firsts = spread(found.weighted.filter(F.size("codes") > 1), "codes").select(
-        "orders", "codes", F.posexplode("codes").alias("at", "a")
+    last_part = F.floor((F.size("codes") - 1) / WIDE).cast("int")
+    parts = found.weighted.filter(F.size("codes") > 1).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), last_part))
+    )
+    firsts = spread(parts, "codes", "part").select(
+        "orders", "codes", "part", F.posexplode(F.slice("codes", F.col("part") * WIDE + 1, WIDE)).alias("at", "a")
     )
-    rest = F.slice("codes", F.col("at") + 2, F.size("codes") - F.col("at") - 1)
+    at = F.col("part") * WIDE + F.col("at")
+    rest = F.slice("codes", at + 2, F.size("codes") - at - 1)
     counted = (
         firsts.select("orders", "a", F.explode(rest).alias("b"))
         .groupBy("a", "b")

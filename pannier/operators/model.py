@@ -83,7 +83,7 @@ def fit_ranker(
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``df`` with the probability of the positive class as ``score``."""
+    """``df`` with the probability of the positive class as ``score``; its numeric inputs become doubles."""
     typed = features(df, keep=df.columns)
     probability = vector_to_array("probability")[1]
     return model.transform(typed).withColumn("score", probability).select(*df.columns, "score")

@@ -81,6 +81,7 @@ class Stages:
 
     def write(self, folder: str, form: str = "csv") -> None:
         """Write the master table and the candidates of both splits to ``folder``."""
+        # The names of the written tables.
         write_table(self.master.drop("split"), f"{folder}/master_orders.{form}", form)
         for split in ("train", "test"):
             write_table(self.candidates(split), f"{folder}/{split}_order_data.{form}", form)

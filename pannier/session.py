@@ -17,9 +17,16 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built.
+
+    Shuffle partitions stay as chosen unless they would leave cores idle, as Spark's
+    default of 200 does on a large cluster.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    cores = spark.sparkContext.defaultParallelism
+    if int(spark.conf.get("spark.sql.shuffle.partitions")) < cores:
+        spark.conf.set("spark.sql.shuffle.partitions", str(3 * cores))
     return spark
 
 

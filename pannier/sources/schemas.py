@@ -20,6 +20,7 @@ def _schema(**columns: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
+# Column names, types and order of the tables.
 ORDERS = _schema(
     order_id=_LONG,
     user_id=_LONG,

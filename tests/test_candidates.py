@@ -77,6 +77,11 @@ def test_rules_from_other_orders_may_name_unknown_products(spark):
     assert [(r.recommended_product_id, r.recommended_product_name, r.label) for r in found] == [(None, None, 0)]
 
 
+def test_no_rules_no_candidates(spark):
+    lines = master_lines(spark, {1: ["a", "b"]})
+    assert cand.build_candidates(lines, _rules(spark, [("a", "b")]).limit(0)).count() == 0
+
+
 def test_stats(spark):
     lines = master_lines(spark, {1: ["a", "b"], 2: ["b"], 3: ["a"]})
     found = cand.build_candidates(lines, _rules(spark, [("a", "b"), ("b", "a")]))

@@ -75,6 +75,16 @@ def test_auc_edge_cases(spark):
     assert auc([(0.9, 1), (0.1, 0)]) == 1.0
     assert auc([(0.1, 1), (0.9, 0)]) == 0.0
     assert auc([(0.1, 1), (0.9, 1)]) is None
+    assert auc([(float(i % 7), int(i % 2 == 0)) for i in range(1000)]) == pytest.approx(
+        brute.auc([(float(i % 7), int(i % 2 == 0)) for i in range(1000)])
+    )
+
+
+def test_metrics_of_nothing(spark, scored):
+    none = scored.limit(0)
+    assert metrics.roc_auc(none, "confidence").first().roc_auc is None
+    assert metrics.classification_metrics(none, 0.5, "confidence").first()[:] == (0, 0, 0, 0)
+    assert {r.precision for r in metrics.precision_recall_at_k(none, score="confidence").collect()} == {None}
 
 
 def test_one_dominant_group_is_ranked_right(spark):

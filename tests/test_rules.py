@@ -105,6 +105,21 @@ def test_identical_baskets_fold(spark):
     assert {r.freq for r in itemsets.frequent_pairs(found).collect()} == {50}
 
 
+def test_wide_baskets_are_cut_exactly(spark, monkeypatch):
+    carts = _random_carts(200, seed=11) | {999: [f"item{i:02d}" for i in range(12)]}
+    whole = itemsets.frequent_pairs(itemsets.frequent_baskets(master_lines(spark, carts), 0.01)).collect()
+    monkeypatch.setattr(itemsets, "WIDE", 3)
+    cut = itemsets.frequent_pairs(itemsets.frequent_baskets(master_lines(spark, carts), 0.01)).collect()
+    assert sorted(cut) == sorted(whole) and len(whole) > 60
+
+
+def test_nothing_frequent(spark):
+    lines = master_lines(spark, {i: [f"only{i}"] for i in range(5)})
+    for pairs_only in (True, False):
+        assert rules.generate_rules(lines, 0.5, 0.1, pairs_only=pairs_only).count() == 0
+    assert itemsets.frequent_itemsets(itemsets.frequent_baskets(lines.limit(0), 0.5)).count() == 0
+
+
 def test_encodings(spark):
     lines = master_lines(spark, CARTS)
     assert itemsets.encode_long(lines).count() == 9
