@@ -56,9 +56,9 @@ def expand_and_look_up(lines: DataFrame, rules: DataFrame, hot_lines: int = HOT_
     """``look_up_outcome(expand(lines, rules), lines)`` with the lines laid out by order first.
 
     Lines are shuffled once, before they multiply; the candidates made of an order's
-    lines then meet the order's products where they are. Orders above ``hot_lines`` are
-    cut: each part takes some of the trigger lines and a copy of the products bought.
-    Only products that some rule recommends are kept for the lookup.
+    lines then meet the order's products where they are. Only products of some rule are
+    moved. Orders with more than ``hot_lines`` of those lines are cut: each part takes
+    some of the trigger lines and a copy of the products bought.
     """
     scratch = Scratch.of(lines.sparkSession)
     recommended = rules.select(F.col("consequent").alias("product_name"))
@@ -66,7 +66,8 @@ def expand_and_look_up(lines: DataFrame, rules: DataFrame, hot_lines: int = HOT_
     bought = lines.select("order_id", "product_name", "add_to_cart_order").join(
         recommended, "product_name", "left_semi"
     )
-    sizes = lines.groupBy("order_id").agg(F.count("*").alias("n_lines"))
+    either = rules.select(F.explode(F.array("antecedent", "consequent")).alias("product_name"))
+    sizes = lines.join(either, "product_name", "left_semi").groupBy("order_id").agg(F.count("*").alias("n_lines"))
     hot = scratch.keep(sizes.filter(F.col("n_lines") > hot_lines).select("order_id"), "hot-orders")
     if hot.isEmpty():
         return look_up_outcome(expand(spread(triggers, "order_id"), rules), spread(bought, "order_id"))

@@ -34,14 +34,14 @@ def top_k(scored: DataFrame, k: int, score: str = "score", group: list[str] = GR
 def first_recommendations(candidates: DataFrame) -> DataFrame:
     """An order's earliest candidate for each recommended product.
 
-    A minimum instead of a ranking: it combines before the shuffle.
+    A minimum instead of a ranking: it combines before the shuffle. Cart position and
+    trigger are packed into one number, because Spark aggregates plain numbers by hashing
+    but would sort all candidates to aggregate structs.
     """
-    earliest = F.struct("cart_size", "trigger_product_id")
-    kept = F.struct("cart_size", "trigger_product_id", "confidence", "label")
-    return (
-        candidates.groupBy("order_id", "recommended_product_id")
-        .agg(F.min_by(kept, earliest).alias("first"))
-        .select("order_id", "recommended_product_id", "first.*")
+    earliest = F.col("cart_size").cast("bigint") * 2**32 + F.pmod("trigger_product_id", F.lit(2**32))
+    kept = ["cart_size", "trigger_product_id", "confidence", "label"]
+    return candidates.groupBy("order_id", "recommended_product_id").agg(
+        *[F.min_by(c, earliest).alias(c) for c in kept]
     )
 
 

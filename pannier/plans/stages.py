@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +44,7 @@ class Stages:
         self.rounds = rounds
         self.n = n
         self.unit = unit
+        self._kept: dict[str, DataFrame] = {}
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -63,21 +64,25 @@ class Stages:
         """Master rows of one split."""
         return self.master.filter(F.col("split") == split).drop("split")
 
-    @lru_cache(maxsize=None)
+    def _once(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if label not in self._kept:
+            self._kept[label] = self.scratch.keep(build(), label)
+        return self._kept[label]
+
     def rules(self, split: str = "train") -> DataFrame:
         """Rules mined on one split."""
-        mined = generate_rules(self.lines(split), self.min_support, self.min_confidence)
-        return self.scratch.keep(mined, f"{split}-rules")
+        return self._once(
+            f"{split}-rules", lambda: generate_rules(self.lines(split), self.min_support, self.min_confidence)
+        )
 
     def make_candidates(self, split: str, rules_from: str = "same_split") -> DataFrame:
         """Candidates of a split under its own rules, or under the training rules."""
         source = split if rules_from == "same_split" else rules_from
         return build_candidates(self.lines(split), one_to_one(self.rules(source)))
 
-    @lru_cache(maxsize=None)
     def candidates(self, split: str = "test") -> DataFrame:
         """Candidates of one split."""
-        return self.scratch.keep(self.make_candidates(split), f"{split}-candidates")
+        return self._once(f"{split}-candidates", lambda: self.make_candidates(split))
 
     def write(self, folder: str, form: str = "csv") -> None:
         """Write the master table and the candidates of both splits to ``folder``."""

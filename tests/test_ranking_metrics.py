@@ -32,6 +32,12 @@ def test_first_recommendation_is_the_earliest_not_the_most_confident(scored):
     assert (first.confidence, first.label) == (0.8, 1)
 
 
+def test_lines_at_one_position_resolve_to_the_smaller_trigger(spark):
+    rows = [(1, 2**31 + 5, 9, 4, 0.5, 1), (1, 2**31 + 3, 9, 4, 0.6, 0), (1, 1, 9, 5, 0.9, 1)]
+    first = ranking.first_recommendations(spark.createDataFrame(rows, COLUMNS).repartition(3)).first()
+    assert (first.trigger_product_id, first.confidence, first.label) == (2**31 + 3, 0.6, 0)
+
+
 def test_model_metrics_skip_groups_without_positives(scored):
     at = {r.k: r for r in metrics.precision_recall_at_k(scored, (1, 2, 5), "confidence").collect()}
     # groups: (1,1) labels 0,1,1; (1,2) label 0; (2,1) labels 0,0
