@@ -17,7 +17,7 @@ from pannier.operators import metrics, model
 from pannier.operators.prepare import product_catalogue
 from pannier.operators.ranking import best_bundle, ranked_recommendations, top_k
 from pannier.operators.rules import generate_rules, one_to_one
-from pannier.plans.catalog import REQUEST, _requests
+from pannier.plans.catalog import REQUEST, requests
 from pannier.plans.stages import Stages
 from pannier.session import local_session
 from pannier.sources.scratch import Scratch
@@ -60,7 +60,7 @@ def main() -> None:
     timed(
         "best_bundle",
         lambda: best_bundle(
-            _requests(st),
+            requests(st),
             one_to_one(st.rules("train")),
             st.scratch.keep(product_catalogue(st.lines("train")), "catalogue"),
             REQUEST,

@@ -11,14 +11,14 @@ from pannier.operators.prepare import assert_unique, product_catalogue
 from pannier.sources.schemas import CANDIDATES
 from pannier.sources.scratch import Scratch
 
-# Master columns that a candidate takes over under another name.
+# Master columns that a candidate takes over under another name.
 TRIGGER_NAMES = {
     "add_to_cart_order": "cart_size",
     "product_id": "trigger_product_id",
     "product_name": "trigger_product_name",
     "reordered": "trigger_reordered",
 }
-# Catalogue columns as attributes of the recommended product.
+# Catalogue columns as attributes of the recommended product.
 RECOMMENDED_NAMES = {
     "product_id": "recommended_product_id",
     "product_name": "recommended_product_name",
@@ -35,25 +35,29 @@ def expand(lines: DataFrame, rules: DataFrame) -> DataFrame:
     return lines.join(rules, lines.product_name == rules.antecedent).drop("antecedent")
 
 
-def look_up_outcome(expanded: DataFrame, lines: DataFrame, within: tuple[str, ...] = ("order_id",)) -> DataFrame:
-    """Add the cart position at which the order took the recommended product, if it did."""
-    actual = lines.select(
-        *within,
+def purchases(lines: DataFrame) -> DataFrame:
+    """What each order took and where in the cart, named for the lookup."""
+    return lines.select(
+        "order_id",
         F.col("product_name").alias("consequent"),
         F.col("add_to_cart_order").alias("actual_add_to_cart_order"),
     )
-    return expanded.join(actual, [*within, "consequent"], "left")
+
+
+def look_up_outcome(expanded: DataFrame, taken: DataFrame, within: tuple[str, ...] = ("order_id",)) -> DataFrame:
+    """Add the cart position at which the order took the recommended product, if it did."""
+    return expanded.join(taken, [*within, "consequent"], "left")
 
 
 def _with_parts(lines: DataFrame, hot: DataFrame, parts_of_hot: Column) -> DataFrame:
-    """Lines once per ``part`` of their order they belong to; an ordinary order is one part."""
+    """Rows once per ``part`` of their order they belong to; an ordinary order is one part."""
     marked = lines.join(hot.withColumn("is_hot", F.lit(True)), "order_id", "left")
     parts = F.when(F.col("is_hot"), parts_of_hot).otherwise(F.array(F.lit(0)))
     return marked.withColumn("part", F.explode(parts)).drop("is_hot")
 
 
 def expand_and_look_up(lines: DataFrame, rules: DataFrame, hot_lines: int = HOT_LINES) -> DataFrame:
-    """``look_up_outcome(expand(lines, rules), lines)`` with the lines laid out by order first.
+    """``look_up_outcome(expand(lines, rules), purchases(lines))``, laid out by order first.
 
     Lines are shuffled once, before they multiply; the candidates made of an order's
     lines then meet the order's products where they are. Only products of some rule are
@@ -61,22 +65,19 @@ def expand_and_look_up(lines: DataFrame, rules: DataFrame, hot_lines: int = HOT_
     some of the trigger lines and a copy of the products bought.
     """
     scratch = Scratch.of(lines.sparkSession)
-    recommended = rules.select(F.col("consequent").alias("product_name"))
     triggers = lines.join(rules.select(F.col("antecedent").alias("product_name")), "product_name", "left_semi")
-    bought = lines.select("order_id", "product_name", "add_to_cart_order").join(
-        recommended, "product_name", "left_semi"
-    )
+    taken = purchases(lines).join(rules.select("consequent"), "consequent", "left_semi")
     either = rules.select(F.explode(F.array("antecedent", "consequent")).alias("product_name"))
     sizes = lines.join(either, "product_name", "left_semi").groupBy("order_id").agg(F.count("*").alias("n_lines"))
     hot = scratch.keep(sizes.filter(F.col("n_lines") > hot_lines).select("order_id"), "hot-orders")
     if hot.isEmpty():
-        return look_up_outcome(expand(spread(triggers, "order_id"), rules), spread(bought, "order_id"))
+        return look_up_outcome(expand(spread(triggers, "order_id"), rules), spread(taken, "order_id"))
     one = F.pmod(F.xxhash64("product_id", "add_to_cart_order"), F.lit(PARTS)).cast("int")
     triggers = _with_parts(triggers, hot, F.array(one))
-    bought = _with_parts(bought, hot, F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    taken = _with_parts(taken, hot, F.sequence(F.lit(0), F.lit(PARTS - 1)))
     within = ("order_id", "part")
     expanded = expand(spread(triggers, *within), rules)
-    return look_up_outcome(expanded, spread(bought, *within), within).drop("part")
+    return look_up_outcome(expanded, spread(taken, *within), within).drop("part")
 
 
 def label(with_outcome: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pannier.functions.expressions import fill_missing, row_hash
 from pannier.sources.schemas import MASTER
 
+# Columns that go into the master table.
 ORDER_COLUMNS = ["order_id", "order_dow", "order_hour_of_day", "days_since_prior_order", "order_number"]
 PRODUCT_COLUMNS = ["product_id", "product_name", "department_id"]
 

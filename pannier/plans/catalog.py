@@ -275,7 +275,7 @@ def candidate_expansion(st: Stages) -> DataFrame:
 @query
 def outcome_lookup(st: Stages) -> DataFrame:
     lines = st.lines("test")
-    found = cand.look_up_outcome(cand.expand(lines, rules.one_to_one(st.rules("test"))), lines)
+    found = cand.look_up_outcome(cand.expand(lines, rules.one_to_one(st.rules("test"))), cand.purchases(lines))
     return found.select("order_id", "product_name", "consequent", "actual_add_to_cart_order")
 
 
@@ -467,7 +467,7 @@ def sorted_expansion(st: Stages) -> DataFrame:
 REQUEST = ["trigger_product_id", "order_hour_of_day", "order_dow"]
 
 
-def _requests(st: Stages) -> DataFrame:
+def requests(st: Stages) -> DataFrame:
     """Every product, hour and day that occurs in the test lines."""
     return st.lines("test").withColumnRenamed("product_id", "trigger_product_id").select(*REQUEST).distinct()
 
@@ -475,7 +475,7 @@ def _requests(st: Stages) -> DataFrame:
 @query
 def best_bundles(st: Stages) -> DataFrame:
     catalogue = Scratch.of(st.spark).keep(prepare.product_catalogue(st.lines("train")), "catalogue")
-    return ranking.best_bundle(_requests(st), rules.one_to_one(st.rules("train")), catalogue, REQUEST)
+    return ranking.best_bundle(requests(st), rules.one_to_one(st.rules("train")), catalogue, REQUEST)
 
 
 # Features and model
@@ -531,7 +531,7 @@ def decisions(st: Stages) -> DataFrame:
 def model_best_bundles(st: Stages) -> DataFrame:
     catalogue = Scratch.of(st.spark).keep(prepare.product_catalogue(st.lines("train")), "catalogue")
     # Context a request does not name: a first order whose cart holds only the trigger.
-    requests = _requests(st).withColumns(
+    asked = requests(st).withColumns(
         {
             "days_since_prior_order": F.lit(-1.0),
             "order_number": F.lit(1),
@@ -539,7 +539,7 @@ def model_best_bundles(st: Stages) -> DataFrame:
             "trigger_reordered": F.lit(0),
         }
     )
-    return ranking.best_bundle(requests, rules.one_to_one(st.rules("train")), catalogue, REQUEST, st.ranker)
+    return ranking.best_bundle(asked, rules.one_to_one(st.rules("train")), catalogue, REQUEST, st.ranker)
 
 
 # Evaluation

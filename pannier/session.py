@@ -6,9 +6,11 @@ from pyspark.sql import SparkSession
 
 # AQE picks join strategies from measured sizes and splits skewed join partitions. Without
 # the co-partition setting a join on (order, product) would shuffle rows again that already
-# lie together by order. With concurrent writers a task writes the few split folders side
+# lie together by order. Joins hash instead of sort when AQE has measured every partition of
+# one side to be small. With concurrent writers a task writes the few split folders side
 # by side instead of sorting its rows by split first.
 SETTINGS = {
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.enabled": "true",
