@@ -33,7 +33,7 @@ TARGET = "label"
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """The columns as doubles, with 0 for missing values and for text that is no number."""
-    return df.withColumns({c: F.nanvl(to_number(c), F.lit(None).cast("double")) for c in columns}).na.fill(0.0, columns)
+    return df.withColumns({c: fill_missing(to_number(c), 0.0) for c in columns})
 
 
 def features(candidates: DataFrame, keep: list[str] | None = None) -> DataFrame:

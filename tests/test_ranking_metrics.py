@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 import brute
 from pannier.operators import metrics, ranking
