@@ -7,7 +7,6 @@ its true size, so a join with it is broadcast only when the files really are bel
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,16 +42,28 @@ class Scratch:
 
     def drop(self) -> None:
         """Delete the folder; tables kept in it can no longer be read."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.root)
         Scratch._open.pop(self.spark.sparkContext.applicationId, None)
 
 
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    files, path = _file_system(spark, path)
+    return files.exists(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store the path names."""
+    files, path = _file_system(spark, path)
+    files.delete(path, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only for an unset local session."""
+    """``spark.checkpoint.dir``, or else a folder in Spark's warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="pannier-")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/pannier-scratch"
