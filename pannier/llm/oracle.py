@@ -1,3 +1,54 @@
 """The registered queries in SQL, where SQL can express them."""
 
 SQL: dict[str, str] = {}
+
+SQL["op2_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS vector
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.vector, c.vector) AS BIGINT) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+SQL["op9_mixing"] = r"""
+WITH d AS (
+    SELECT doc_id, source, md5(COALESCE(CAST(doc_id AS VARCHAR), '')) AS hash_key, md5(COALESCE(text, '')) AS text_key,
+        CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+    FROM documents
+), sources AS (
+    SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
+        [5, 2, 1][1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS weight
+    FROM d GROUP BY source
+), stops AS (
+    SELECT *, 3 * source_size AS cap,
+        row_number() OVER (ORDER BY 3 * source_size / weight, source ASC NULLS LAST) AS place
+    FROM sources
+), levels AS (
+    SELECT place, weight, cap,
+        CAST((SELECT SUM(source_size) FROM stops) - COALESCE((SELECT SUM(b.cap) FROM stops b WHERE b.place < a.place), 0) AS DOUBLE)
+            / CAST((SELECT SUM(b.weight) FROM stops b WHERE b.place >= a.place) AS DOUBLE) AS level
+    FROM stops a
+), chosen AS (
+    SELECT level FROM levels WHERE level * weight <= cap ORDER BY place LIMIT 1
+), targets AS (
+    SELECT source, source_size, LEAST(CAST(cap AS DOUBLE), level * weight) AS target FROM stops, chosen
+), placed AS (
+    SELECT d.doc_id, d.size, t.source_size, t.target,
+        CAST(floor(t.target) AS BIGINT) // GREATEST(t.source_size, 1) AS epochs,
+        COALESCE(SUM(d.size) OVER (PARTITION BY d.source ORDER BY hash_key, size, text_key
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+    CAST(epochs * size + GREATEST(0, LEAST(size, CAST(floor(target) AS BIGINT) - epochs * source_size - before)) AS BIGINT) AS taken
+FROM placed
+"""

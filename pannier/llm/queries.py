@@ -6,9 +6,13 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pannier.llm.fingerprints import fingerprints
+from pannier.llm.mixing import mix
 from pannier.llm.packing import pack
 from pannier.llm.token_counts import token_counts
+from pannier.llm.topk import top_k
 from pannier.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +29,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+@query
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(
