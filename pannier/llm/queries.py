@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pannier.llm.fingerprints import fingerprints
+from pannier.llm.langid import held_out, identify, train
 from pannier.llm.mixing import mix
 from pannier.llm.packing import pack
 from pannier.llm.token_counts import token_counts
@@ -39,6 +40,13 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    marked = docs.select("doc_id", "text", held_out("doc_id").alias("held_out"))
+    return identify(marked, train(docs), ["doc_id", "held_out"])
+
+
 @query
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(table(spark, folder, "documents"))
