@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pannier.llm import quality
 from pannier.llm.fingerprints import fingerprints
 from pannier.llm.langid import held_out, identify, train
 from pannier.llm.mixing import mix
@@ -30,6 +31,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", held_out("doc_id").alias("held_out"))
+    measured = Scratch.of(spark).keep(quality.statistics(docs, ["doc_id", "held_out"]), "statistics")
+    model = quality.train(measured, table(spark, folder, "labels"), ~F.col("held_out"))
+    return quality.classify(measured, model, ["doc_id", "held_out"])
+
+
 @query
 def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
