@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pannier.llm import quality
 from pannier.llm.fingerprints import fingerprints
+from pannier.llm.jaccard import near_duplicates
 from pannier.llm.langid import held_out, identify, train
 from pannier.llm.mixing import mix
 from pannier.llm.packing import pack
@@ -49,6 +50,11 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), ["doc_id"])
+
+
 @query
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
