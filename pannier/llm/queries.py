@@ -14,6 +14,7 @@ from pannier.llm.jaccard import near_duplicates
 from pannier.llm.langid import held_out, identify, train
 from pannier.llm.mixing import mix
 from pannier.llm.packing import pack
+from pannier.llm.passages import remove_repeats
 from pannier.llm.token_counts import token_counts
 from pannier.llm.topk import top_k
 from pannier.sources.scratch import Scratch
@@ -50,6 +51,11 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"), ["doc_id"]).drop("kept_text")
+
+
 @query
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), ["doc_id"])
