@@ -214,7 +214,10 @@ class RTree:
 
 
 def _candidates(every: bool):
-    """Pairs of a block's sets that its R-tree leaves; unless ``every``, each set's likeliest earlier one."""
+    """Pairs of a block's sets that its R-tree leaves; unless ``every``, each set's likeliest earlier one.
+
+    In the second case a set that is in pairs, but has no earlier one, is paired with itself.
+    """
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame, starts in _runs_of(batches, "block"):
@@ -224,8 +227,10 @@ def _candidates(every: bool):
             for begin, end in zip(starts, [*starts[1:], len(frame)]):
                 at = slice(begin, end)
                 best: dict[int, tuple[float, int]] = {}
+                met: set[int] = set()
                 for a, b, bound in RTree(vectors[at], n[at], component[at]).pairs():
                     a, b = ids[at][a], ids[at][b]
+                    met.update(a.tolist(), b.tolist())
                     earlier, later = np.minimum(a, b), np.maximum(a, b)
                     if every:
                         out.append((earlier, later, bound))
@@ -238,6 +243,7 @@ def _candidates(every: bool):
                             best[int(later[k])] = found
                 if best:
                     rows = [(e, later, bound) for later, (bound, e) in best.items()]
+                    rows += [(x, x, -1.0) for x in met - best.keys()]
                     out.append(tuple(np.array(c) for c in zip(*rows)))
             if out:
                 a, b, bound = (np.concatenate(c) for c in zip(*out))
@@ -246,26 +252,19 @@ def _candidates(every: bool):
     return candidates
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "_text"):
-            of, hashes = shingles(part.column("_text"))
-            ends = np.cumsum(np.bincount(of, minlength=part.num_rows))
-            sets = [hashes[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
-            yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(sets, pa.binary())], ["set_id", "shingles"])
-
-
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of texts that are linked."""
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("a", "b", "one", "two")]
-        linked = []
-        for a, b, one, two in zip(*columns):
-            one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-            common = len(np.intersect1d(one, two, assume_unique=True))
-            if 100 * common >= 80 * (len(one) + len(two) - common):
-                linked.append((a, b))
-        a, b = zip(*linked) if linked else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for part in slices(batch, "one"):
+            of_one, one = shingles(part.column("one"))
+            of_two, two = shingles(part.column("two"))
+            of = np.concatenate([of_one, of_two]).astype(np.uint64)
+            both = np.sort(of << np.uint64(BITS) | np.concatenate([one, two]))
+            twice = both[1:][both[1:] == both[:-1]]
+            common = np.bincount((twice >> np.uint64(BITS)).astype(np.int64), minlength=part.num_rows)
+            total = np.bincount(of.astype(np.int64), minlength=part.num_rows)
+            linked = pa.array(100 * common >= 80 * (total - common))
+            yield pa.RecordBatch.from_arrays([part.column("a").filter(linked), part.column("b").filter(linked)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -318,27 +317,28 @@ def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text:
         likeliest = F.max(F.struct("bound", "a")).alias("best")
         return scratch.keep(found.groupBy("b").agg(likeliest).select("best.a", "b"), "pairs")
 
-    known: DataFrame | None = None  # sets of candidates, made once each
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        nonlocal known
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-        new = asked if known is None else asked.join(known.select("set_id"), "set_id", "left_anti")
-        wanted = new.join(sets.select("set_id", "row_key"), "set_id")
-        texts = rows.select("row_key", "_text").join(wanted, "row_key").select("set_id", "_text")
-        more = texts.mapInArrow(_shingle_sets, "set_id bigint, shingles binary").dropDuplicates(["set_id"])
-        more = scratch.keep(more, "shingles")
-        known = more if known is None else known.unionByName(more)
-        one = known.select(F.col("set_id").alias("a"), F.col("shingles").alias("one"))
-        two = known.select(F.col("set_id").alias("b"), F.col("shingles").alias("two"))
-        return scratch.keep(pairs.join(one, "a").join(two, "b").mapInArrow(_verify, "a bigint, b bigint"), "verified")
-
-    labels, links = None, None
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        """The text of one row of every set in pairs."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sets.select("set_id", "row_key"), "set_id")
+        found = rows.select("row_key", "_text").join(scratch.keep(wanted, "wanted"), "row_key")
+        return scratch.keep(found.select("set_id", "_text").dropDuplicates(["set_id"]), "texts")
+
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        asked = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "asked")
+        texts = texts.join(asked, "set_id", "left_semi")
+        one = texts.select(F.col("set_id").alias("a"), F.col("_text").alias("one"))
+        two = texts.select(F.col("set_id").alias("b"), F.col("_text").alias("two"))
+        return scratch.keep(pairs.join(two, "b").join(one, "a").mapInArrow(_verify, "a bigint, b bigint"), "verified")
+
+    labels, links, texts = None, None, None
     for every in (False, False, True):
         pairs = candidates(labels, every)
+        if texts is None:
+            texts = texts_of(pairs)  # of all sets that are in any pair
+        pairs = pairs.filter("a <> b")
         if pairs.isEmpty():
             break
-        found = verified(pairs)
+        found = verified(pairs, texts)
         links = found if links is None else links.unionByName(found)
         labels = connected(links)
 

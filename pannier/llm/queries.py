@@ -24,9 +24,18 @@ QUERIES: dict[str, Query] = {}
 TOKENIZERS = os.environ.get("PANNIER_TOKENIZERS", "/opt/tokenizers")
 
 
+def prepare(spark: SparkSession) -> None:
+    """Let a finished query's shuffle files go at once; operators write what they need again."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        prepare(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
