@@ -52,3 +52,69 @@ SELECT doc_id, size, source_size, target,
     CAST(epochs * size + GREATEST(0, LEAST(size, CAST(floor(target) AS BIGINT) - epochs * source_size - before)) AS BIGINT) AS taken
 FROM placed
 """
+
+SQL["op5_license_scan"] = r"""
+WITH RECURSIVE templates(license, notice) AS (VALUES
+    ('Apache-2.0', 'Licensed under the Apache License, Version 2.0'),
+    ('BSD-3-Clause', 'Redistribution and use in source and binary forms, with or without modification, are permitted'),
+    ('CC-BY-4.0', 'This work is licensed under a Creative Commons Attribution 4.0 International License'),
+    ('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0'),
+    ('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3'),
+    ('MIT', 'Released under the MIT License'),
+    ('MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0'),
+    ('Unlicense', 'This is free and unencumbered software released into the public domain')
+), template_words AS (
+    SELECT license, unnest(regexp_extract_all(lower(notice), '[a-z]+|[0-9]+(?:\.[0-9]+)*')) AS token FROM templates
+), template_counts AS (
+    SELECT license, token, COUNT(*) AS n FROM template_words
+    WHERE token NOT IN ('a', 'an', 'and', 'are', 'by', 'in', 'into', 'is', 'of', 'or', 'that', 'the', 'this', 'to',
+        'under', 'use', 'with', 'without')
+    GROUP BY ALL
+), rarity AS (
+    SELECT token, ln(9.0 / (1 + COUNT(*))) + 1 AS idf FROM template_counts GROUP BY token
+), template_weights AS (
+    SELECT license, token, n * idf / sqrt(SUM(n * idf * n * idf) OVER (PARTITION BY license)) AS part
+    FROM template_counts JOIN rarity USING (token)
+), files AS (
+    SELECT page_id, regexp_replace(regexp_replace(url, '^[A-Za-z]+://', ''), '[?#].*$', '') AS path, html FROM pages
+), said AS (
+    SELECT path, unnest(string_split_regex(regexp_replace(
+        regexp_replace(html, '(?s)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>', chr(10), 'g'),
+        '([.!?])\s+([A-Z])', '\1' || chr(10) || '\2', 'g'), '\n+')) AS statement
+    FROM files
+), spoken AS (
+    SELECT DISTINCT path, list_filter(regexp_extract_all(lower(statement), '[a-z]+|[0-9]+(?:\.[0-9]+)*'),
+        lambda w: w NOT IN ('a', 'an', 'and', 'are', 'by', 'in', 'into', 'is', 'of', 'or', 'that', 'the', 'this', 'to',
+            'under', 'use', 'with', 'without')) AS words
+    FROM said
+), weighed AS (
+    SELECT path, words, token, COUNT(*) * COALESCE(ANY_VALUE(idf), ln(9.0) + 1) AS weight
+    FROM (SELECT path, words, unnest(words) AS token FROM spoken) LEFT JOIN rarity USING (token)
+    GROUP BY path, words, token
+), lengths AS (
+    SELECT path, words, sqrt(SUM(weight * weight)) AS length FROM weighed GROUP BY path, words
+), rated AS (
+    SELECT path, license, round(SUM(weight * part) / ANY_VALUE(length), 6) AS cosine
+    FROM weighed JOIN template_weights USING (token) JOIN lengths USING (path, words)
+    GROUP BY path, words, license
+), own AS (
+    SELECT path, license, cosine FROM rated WHERE cosine >= 0.6
+    QUALIFY row_number() OVER (PARTITION BY path ORDER BY cosine DESC, license) = 1
+), placed AS (
+    SELECT page_id, path, regexp_replace(path, '/*[^/]*/*$', '') AS directory FROM files
+), declared AS (
+    SELECT directory AS ancestor, license, cosine FROM own JOIN (SELECT DISTINCT path, directory FROM placed) USING (path)
+    WHERE suffix(path, '/')
+    QUALIFY row_number() OVER (PARTITION BY directory ORDER BY cosine DESC, license) = 1
+), above AS (
+    SELECT DISTINCT directory, directory AS ancestor, 0 AS up FROM placed WHERE directory IS NOT NULL
+    UNION ALL
+    SELECT directory, regexp_replace(ancestor, '/?[^/]*$', ''), up + 1 FROM above WHERE contains(ancestor, '/')
+), nearest AS (
+    SELECT directory, ancestor, license, cosine FROM above JOIN declared USING (ancestor)
+    QUALIFY row_number() OVER (PARTITION BY directory ORDER BY up) = 1
+)
+SELECT page_id, COALESCE(own.license, nearest.license) AS license, COALESCE(own.cosine, nearest.cosine) AS cosine,
+    CASE WHEN own.license IS NULL THEN nearest.ancestor END AS inherited_from
+FROM placed LEFT JOIN own USING (path) LEFT JOIN nearest USING (directory)
+"""

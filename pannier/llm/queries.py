@@ -12,6 +12,7 @@ from pannier.llm import quality
 from pannier.llm.fingerprints import fingerprints
 from pannier.llm.jaccard import near_duplicates
 from pannier.llm.langid import held_out, identify, train
+from pannier.llm.licenses import scan_with_inheritance
 from pannier.llm.mixing import mix
 from pannier.llm.packing import pack
 from pannier.llm.passages import remove_repeats
@@ -65,6 +66,16 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"), ["doc_id"]).drop("kept_text")
 
 
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as files at their address; a page at a directory's address is that directory's licence file."""
+    pages = table(spark, folder, "pages")
+    address = F.regexp_replace(F.regexp_replace("url", r"^[A-Za-z]+://", ""), r"[?#].*$", "")
+    files = pages.select("page_id", address.alias("path"), F.col("html").alias("text"))
+    is_index = F.col("path").endswith("/")
+    return scan_with_inheritance(files, is_index, ["page_id"])
+
+
 @query
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), ["doc_id"])
