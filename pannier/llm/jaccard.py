@@ -15,7 +15,7 @@ from pannier.llm.components import connected
 from pannier.sources.scratch import Scratch
 
 WORDS = 5
-GROUPS = 32  # coordinates of a count vector
+GROUPS, FOLD = 256, 8  # coordinates of a count vector; a tree's boxes add up so many of them to one
 LEAF = 32
 BITS = 54  # of a shingle's hash; a text's number in its slice takes the bits above
 LOW = np.uint64((1 << BITS) - 1)
@@ -115,14 +115,15 @@ def _sets(keep: list[str]):
                 sums = np.concatenate([[0], np.cumsum(mixed(hashes + np.uint64(0xA5A5)))]).astype(np.uint64)
                 ids = mixed(sums[ends] - sums[ends - counts] + counts.astype(np.uint64)).view(np.int64)
                 vectors = np.bincount(of * GROUPS + (hashes % np.uint64(GROUPS)).astype(np.int64), minlength=n * GROUPS)
-                vectors = vectors.astype("<u4").reshape(n, GROUPS)
+                vectors = vectors.reshape(n, GROUPS)
+                large = vectors.max(axis=1, initial=0) > 255  # counts are bytes wherever they fit
                 owner, keys = block_keys(of, hashes, counts)
                 order = np.argsort(owner, kind="stable")
                 limits = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]).astype(np.int32)
                 columns = [
                     pa.array(counts, pa.int64()),
                     pa.array(ids),
-                    pa.array([v.tobytes() for v in vectors], pa.binary()),
+                    pa.array([v.astype("<u4" if x else "u1").tobytes() for v, x in zip(vectors, large)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(limits), pa.array(keys[order])),
                 ]
                 names = ["n", "set_id", "vector", "block_keys"]
@@ -166,10 +167,14 @@ def _shared_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class RTree:
-    """Boxes over count vectors: a node has the largest count of each group, its sizes and components."""
+    """Boxes over count vectors: a node has the largest count of each group, its sizes and components.
+
+    Boxes have the sums of ``FOLD`` groups as coordinates.
+    """
 
     def __init__(self, vectors: np.ndarray, n: np.ndarray, component: np.ndarray):
-        self.vectors, self.n, self.component = vectors, n, component
+        self.fine, self.n, self.component = vectors, n, component
+        self.vectors = vectors.reshape(len(vectors), -1, FOLD).sum(axis=2, dtype=np.int32)
         self.nodes: list[tuple] = []
         self.root = self._build(np.argsort(n, kind="stable"))
 
@@ -187,8 +192,11 @@ class RTree:
         self.nodes.append((rows, high, int(sizes.min()), int(sizes.max()), only, children))
         return len(self.nodes) - 1
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Rows (a, b) of different components that may be linked, and the bound of their similarity."""
+    def pairs(self, fine: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows (a, b) of different components that may be linked, and the bound of their similarity.
+
+        With ``fine``, pairs are also held against the bound of all groups.
+        """
         stack = [(self.root, self.root)]
         while stack:
             one, two = stack.pop()
@@ -203,8 +211,13 @@ class RTree:
                 total = self.n[rows_a][:, None] + self.n[rows_b][None]
                 fits = (9 * common >= 4 * total) & (self.component[rows_a][:, None] != self.component[rows_b][None])
                 a, b = np.nonzero(np.triu(fits, 1) if one == two else fits)
+                common, total = common[a, b], total[a, b]
+                if fine and len(a):
+                    common = np.minimum(self.fine[rows_a[a]], self.fine[rows_b[b]]).sum(axis=1, dtype=np.int64)
+                    kept = 9 * common >= 4 * total
+                    a, b, common, total = a[kept], b[kept], common[kept], total[kept]
                 if len(a):
-                    yield rows_a[a], rows_b[b], common[a, b] / (total[a, b] - common[a, b])
+                    yield rows_a[a], rows_b[b], common / (total - common)
             elif one == two:
                 stack += [(kids_a[0], kids_a[0]), (kids_a[0], kids_a[1]), (kids_a[1], kids_a[1])]
             elif kids_b is None or kids_a is not None and len(rows_a) >= len(rows_b):
@@ -213,7 +226,7 @@ class RTree:
                 stack += [(one, kid) for kid in kids_b]
 
 
-def _candidates(every: bool):
+def _candidates(fine: bool, every: bool):
     """Pairs of a block's sets that its R-tree leaves; unless ``every``, each set's likeliest earlier one.
 
     In the second case a set that is in pairs, but has no earlier one, is paired with itself.
@@ -221,14 +234,16 @@ def _candidates(every: bool):
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame, starts in _runs_of(batches, "block"):
-            vectors = np.frombuffer(b"".join(frame["vector"]), "<u4").reshape(-1, GROUPS)
+            vectors = np.empty((len(frame), GROUPS), np.uint32)
+            for k, raw in enumerate(frame["vector"]):
+                vectors[k] = np.frombuffer(raw, "u1" if len(raw) == GROUPS else "<u4")
             n, component, ids = (frame[c].to_numpy() for c in ("n", "component", "set_id"))
             out = []
             for begin, end in zip(starts, [*starts[1:], len(frame)]):
                 at = slice(begin, end)
                 best: dict[int, tuple[float, int]] = {}
                 met: set[int] = set()
-                for a, b, bound in RTree(vectors[at], n[at], component[at]).pairs():
+                for a, b, bound in RTree(vectors[at], n[at], component[at]).pairs(fine):
                     a, b = ids[at][a], ids[at][b]
                     met.update(a.tolist(), b.tolist())
                     earlier, later = np.minimum(a, b), np.maximum(a, b)
@@ -310,7 +325,7 @@ def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text:
             several = inside.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y"))
             inside = inside.join(several.filter("x <> y").select("block"), "block", "left_semi")
         found = inside.repartition("block").sortWithinPartitions("block").mapInArrow(
-            _candidates(every), "a bigint, b bigint, bound double"
+            _candidates(labels is not None, every), "a bigint, b bigint, bound double"
         )
         if every:
             return scratch.keep(found.select("a", "b").distinct(), "pairs")
