@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pannier.functions.expressions import bought_later
@@ -26,8 +26,8 @@ RECOMMENDED_NAMES = {
     "department": "recommended_department_name",
 }
 
-# Orders with more lines than this are cut into this many parts.
-HOT_LINES, PARTS = 10_000, 64
+# Candidates that one part of an order makes, on average.
+PART_ROWS = 100_000
 
 
 def expand(lines: DataFrame, rules: DataFrame) -> DataFrame:
@@ -49,35 +49,30 @@ def look_up_outcome(expanded: DataFrame, taken: DataFrame, within: tuple[str, ..
     return expanded.join(taken, [*within, "consequent"], "left")
 
 
-def _with_parts(lines: DataFrame, hot: DataFrame, parts_of_hot: Column) -> DataFrame:
-    """Rows once per ``part`` of their order they belong to; an ordinary order is one part."""
-    marked = lines.join(hot.withColumn("is_hot", F.lit(True)), "order_id", "left")
-    parts = F.when(F.col("is_hot"), parts_of_hot).otherwise(F.array(F.lit(0)))
-    return marked.withColumn("part", F.explode(parts)).drop("is_hot")
-
-
-def expand_and_look_up(lines: DataFrame, rules: DataFrame, hot_lines: int = HOT_LINES) -> DataFrame:
+def expand_and_look_up(lines: DataFrame, rules: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """``look_up_outcome(expand(lines, rules), purchases(lines))``, laid out by order first.
 
     Lines are shuffled once, before they multiply; the candidates made of an order's
     lines then meet the order's products where they are. Only products of some rule are
-    moved. Orders with more than ``hot_lines`` of those lines are cut: each part takes
-    some of the trigger lines and a copy of the products bought.
+    moved. An order is as many parts as its measured candidates fill, nearly always one;
+    each part takes some of the trigger lines and a copy of the products bought. A product
+    that an order holds several times counts once, with its last position.
     """
     scratch = Scratch.of(lines.sparkSession)
-    triggers = lines.join(rules.select(F.col("antecedent").alias("product_name")), "product_name", "left_semi")
+    fan_out = scratch.keep(rules.groupBy(F.col("antecedent").alias("product_name")).agg(F.count("*").alias("n_rules")), "fan-out")
+    triggers = lines.join(fan_out, "product_name")
     taken = purchases(lines).join(rules.select("consequent"), "consequent", "left_semi")
-    either = rules.select(F.explode(F.array("antecedent", "consequent")).alias("product_name"))
-    sizes = lines.join(either, "product_name", "left_semi").groupBy("order_id").agg(F.count("*").alias("n_lines"))
-    hot = scratch.keep(sizes.filter(F.col("n_lines") > hot_lines).select("order_id"), "hot-orders")
-    if hot.isEmpty():
-        return look_up_outcome(expand(spread(triggers, "order_id"), rules), spread(taken, "order_id"))
-    one = F.pmod(F.xxhash64("product_id", "add_to_cart_order"), F.lit(PARTS)).cast("int")
-    triggers = _with_parts(triggers, hot, F.array(one))
-    taken = _with_parts(taken, hot, F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    sizes = triggers.groupBy("order_id").agg(F.ceil(F.sum("n_rules") / part_rows).cast("int").alias("parts"))
+    parts = scratch.keep(sizes.filter(F.col("parts") > 1), "orders-in-parts")
+    n_parts = F.coalesce("parts", F.lit(1))
+    one = F.pmod(F.xxhash64("product_id", "add_to_cart_order"), n_parts).cast("int")
+    triggers = triggers.drop("n_rules").join(parts, "order_id", "left").withColumn("part", one).drop("parts")
+    each = F.explode(F.sequence(F.lit(0), n_parts - 1))
+    taken = taken.join(parts, "order_id", "left").withColumn("part", each).drop("parts")
     within = ("order_id", "part")
-    expanded = expand(spread(triggers, *within), rules)
-    return look_up_outcome(expanded, spread(taken, *within), within).drop("part")
+    last = F.max("actual_add_to_cart_order").alias("actual_add_to_cart_order")
+    bought = spread(taken, *within).groupBy(*within, "consequent").agg(last)
+    return look_up_outcome(expand(spread(triggers, *within), rules), bought, within).drop("part")
 
 
 def label(with_outcome: DataFrame) -> DataFrame:

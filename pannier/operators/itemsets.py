@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,11 +34,19 @@ def encode_long(lines: DataFrame) -> DataFrame:
     return lines.select("order_id", "product_name").distinct()
 
 
-def encode_vectors(order_baskets: DataFrame, vocabulary_size: int = 1 << 18) -> tuple[CountVectorizerModel, DataFrame]:
-    """Presence of items as sparse 0/1 vectors, with the fitted vocabulary."""
-    encoder = CountVectorizer(inputCol="items", outputCol="presence", binary=True, vocabSize=vocabulary_size)
-    model = encoder.fit(order_baskets)
-    return model, model.transform(order_baskets)
+def encode_vectors(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Presence of items as sparse 0/1 vectors: the vocabulary, and each order's sorted codes.
+
+    The vocabulary holds every item, as (code, item), in a table of its own; neither it nor
+    the vectors pass through the driver, and no size bounds it.
+    """
+    found = encode_long(lines)
+    vocabulary = Scratch.of(lines.sparkSession).keep(
+        found.select(F.col("product_name").alias("item")).distinct().select(F.monotonically_increasing_id().alias("code"), "item"),
+        "vocabulary",
+    )
+    coded = found.join(vocabulary, found.product_name.eqNullSafe(vocabulary.item))
+    return vocabulary, coded.groupBy("order_id").agg(F.sort_array(F.collect_list("code")).alias("presence"))
 
 
 def item_support(lines: DataFrame) -> DataFrame:

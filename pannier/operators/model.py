@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pannier.functions.expressions import fill_missing, to_number
+from pannier.sources.scratch import Scratch
 
 # The model's inputs.
 CATEGORICAL = [
@@ -56,17 +57,38 @@ def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=[f"{c}_index" for c in CATEGORICAL] + NUMERIC, outputCol="features")
 
 
+def training_sample(train: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
+    """All rows, or about ``max_rows`` of them chosen by a hash of their values."""
+    n = train.count()
+    if n <= max_rows:
+        return train
+    place = F.pmod(F.xxhash64(*map(F.col, sorted(train.columns)), F.lit(seed)), F.lit(1 << 30))
+    return train.filter(place < int(max_rows / n * (1 << 30)))
+
+
 def fit_ranker(
-    train: DataFrame, max_iter: int = 500, step_size: float = 0.05, max_depth: int = 5, seed: int = 42
+    train: DataFrame,
+    max_iter: int = 500,
+    step_size: float = 0.05,
+    max_depth: int = 5,
+    seed: int = 42,
+    max_train_rows: int | None = None,
 ) -> PipelineModel:
     """Fit the boosted trees on a feature frame.
 
     Products among the candidates are frequent items, which keeps the number of
     categories, and with it ``maxBins``, within the bound the mining sets. Trees of
     depth 5 have up to 32 leaves and are shallow enough to be walked again rather than
-    to cache each row's node. Boosting checkpoints every tenth round.
+    to cache each row's node. Boosting checkpoints every tenth round, into the scratch
+    folder unless the session has a checkpoint folder. ``max_train_rows`` bounds the
+    labelled rows the trees are fitted to, see ``training_sample``; category codes come
+    from all rows.
     """
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(Scratch.of(train.sparkSession).path("boosting"))
     indexer = fit_indexer(train)
+    train = train if max_train_rows is None else training_sample(train, max_train_rows, seed)
     bins = max(32, *[len(labels) + 2 for labels in indexer.labelsArray])
     trees = GBTClassifier(
         labelCol=TARGET,
@@ -79,6 +101,7 @@ def fit_ranker(
         seed=seed,
     )
     assembled = assembler().transform(indexer.transform(train)).select("features", TARGET)
+    assembled = Scratch.of(train.sparkSession).keep(assembled, "training-rows")
     return PipelineModel(stages=[indexer, assembler(), trees.fit(assembled)])
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from pannier.sources.scratch import Scratch
+
 
 def _long(df: DataFrame, key: str, values: dict[str, Column], name: str) -> DataFrame:
     """One aggregated row turned into a (key, name) row per aggregate."""
@@ -54,12 +58,13 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     return value_counts(df, column).select(column, (F.col("n") / total).alias("share"))
 
 
-def orphan_counts(orders: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines that refer to no order or to no product, and orders that have no line."""
+def orphan_counts(orders: DataFrame, lines: DataFrame, products: DataFrame, departments: DataFrame) -> DataFrame:
+    """Lines that refer to no order or product, orders that have no line, products without a department."""
     checks = {
         "lines_without_order": lines.join(orders, "order_id", "left_anti"),
         "lines_without_product": lines.join(products, "product_id", "left_anti"),
-        "orders_without_lines": orders.join(lines.select("order_id").distinct(), "order_id", "left_anti"),
+        "products_without_department": products.join(departments, "department_id", "left_anti"),
+        "orders_without_lines": orders.join(lines, "order_id", "left_anti"),
     }
     parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("check_name"), "n") for name, df in checks.items()]
     return reduce(DataFrame.unionByName, parts)
@@ -75,13 +80,47 @@ def out_of_range(df: DataFrame, ranges: dict[str, tuple[float, float | None]]) -
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and linearly interpolated quartiles per column."""
-    names = ["n", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    """Count, mean, deviation, extremes and linearly interpolated quartiles per column.
+
+    Values are counted first. Running counts then say which places of the sorted column a
+    value fills; they are taken over ranges of values, so no task orders a whole column.
+    """
+    parts = []
+    for column in columns:
+        counted = Scratch.of(df.sparkSession).keep(
+            df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n")), "values"
+        )
+        summary = df.agg(
+            F.count(column).cast("double").alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"),
+            F.min(column).cast("double").alias("min"), F.max(column).cast("double").alias("max"),
+        )
+        total = counted.agg(F.sum("n")).first()[0] or 0
+        placed = Scratch.of(df.sparkSession).keep(_running(counted), "placed-values")
+
+        def quartile(q: float) -> Column:
+            at = q * (total - 1)
+
+            def value_at(place: int) -> Column:
+                return F.max(F.when((F.col("before") <= place) & (F.col("before") + F.col("n") > place), F.col("v")))
+
+            low, high = value_at(math.floor(at)), value_at(math.ceil(at))
+            return placed.agg(low + (high - low) * (at - math.floor(at))).scalar()
+
+        quartiles = [quartile(q).alias(f"q{int(q * 100)}") for q in (0.25, 0.5, 0.75)]
+        parts.append(summary.select(F.lit(column).alias("column_name"), "n", "mean", "std", "min", *quartiles, "max"))
+    return reduce(DataFrame.unionByName, parts)
 
-    def measures(c: str) -> list[Column]:
-        quartiles = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        values = [F.count(c), F.avg(c), F.stddev_samp(c), F.min(c), *[quartiles[i] for i in range(3)], F.max(c)]
-        return [value.cast("double").alias(name) for value, name in zip(values, names)]
 
-    summary = df.agg(*[F.struct(*measures(c)).alias(c) for c in columns])
-    return summary.unpivot([], columns, "column_name", "m").select("column_name", *[f"m.{name}" for name in names])
+def _running(counted: DataFrame, range_values: int = 10_000) -> DataFrame:
+    """(v, n) with the number of rows ``before`` each value, by running sums over ranges and inside them."""
+    n = counted.count()
+    ranges = n // range_values + 1
+    cuts = sorted(set(counted.approxQuantile("v", [i / ranges for i in range(1, ranges)], 0.1 / ranges))) if ranges > 1 else []
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol="v", outputCol="range").transform(counted)
+    totals = ranged.groupBy("range").agg(F.sum("n").alias("held"))
+    over = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    starts = totals.select("range", F.coalesce(F.sum("held").over(over), F.lit(0)).alias("start"))
+    inside = W.partitionBy("range").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+    placed = ranged.join(starts, "range").withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return placed.select("v", "n", (F.col("start") + F.col("inside")).alias("before"))

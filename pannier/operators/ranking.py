@@ -13,13 +13,19 @@ from pannier.sources.scratch import Scratch
 GROUP = ["order_id", "trigger_product_id"]
 
 
+def _strongest(df: DataFrame) -> list[Column]:
+    """An order of rules between the same products, the strongest first."""
+    return [F.desc(c) for c in ("lift", "confidence", "support") if c in df.columns]
+
+
 def rank(scored: DataFrame, score: str = "score", group: list[str] = GROUP) -> DataFrame:
     """Number the rows of every group from the best score down as ``rank``.
 
-    Ties go to the smaller product id, then to the earlier cart position.
+    Ties go to the smaller product id, then to the earlier cart position; rows of several
+    rules between the same products follow by lift, confidence and support.
     """
-    ties = [c for c in ("recommended_product_id", "cart_size") if c in scored.columns]
-    best_first = W.partitionBy(*group).orderBy(F.desc(score), *ties)
+    ties = [F.col(c) for c in ("recommended_product_id", "cart_size") if c in scored.columns]
+    best_first = W.partitionBy(*group).orderBy(F.desc(score), *ties, *_strongest(scored))
     return scored.withColumn("rank", F.row_number().over(best_first))
 
 
@@ -34,15 +40,13 @@ def top_k(scored: DataFrame, k: int, score: str = "score", group: list[str] = GR
 def first_recommendations(candidates: DataFrame) -> DataFrame:
     """An order's earliest candidate for each recommended product.
 
-    A minimum instead of a ranking: it combines before the shuffle. Cart position and
-    trigger are packed into one number, because Spark aggregates plain numbers by hashing
-    but would sort all candidates to aggregate structs.
+    Earliest is by cart position, then trigger; of several rules between the same products
+    it is the strongest. Filtering on the rank lets Spark cut groups before the shuffle.
     """
-    earliest = F.col("cart_size").cast("bigint") * 2**32 + F.pmod("trigger_product_id", F.lit(2**32))
-    kept = ["cart_size", "trigger_product_id", "confidence", "label"]
-    return candidates.groupBy("order_id", "recommended_product_id").agg(
-        *[F.min_by(c, earliest).alias(c) for c in kept]
-    )
+    group = ["order_id", "recommended_product_id"]
+    order = W.partitionBy(*group).orderBy("cart_size", "trigger_product_id", *_strongest(candidates))
+    first = candidates.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") == 1)
+    return first.select(*group, "cart_size", "trigger_product_id", "confidence", "label")
 
 
 def ranked_recommendations(candidates: DataFrame, k: int) -> DataFrame:
@@ -61,7 +65,7 @@ def best_bundle(
     keys: list[str],
     model: PipelineModel | None = None,
 ) -> DataFrame:
-    """The single best recommendation for every request.
+    """The single best recommendation for every request, whose ``keys`` name it and may be NULL.
 
     A request names the product in the cart (``trigger_product_id``), the context and,
     for scoring by a model, the model's other context features. Without a model the
@@ -81,6 +85,9 @@ def best_bundle(
         scored = attributed.withColumn("score", F.col("confidence"))
         best = scored.groupBy("trigger_product_id").agg(F.min_by(F.struct(*columns), _best("score")).alias("best"))
         return requests.join(best, "trigger_product_id", "left").select(*keys, "best.*")
-    scored = score_rows(model, requests.join(attributed, "trigger_product_id"))
-    best = scored.groupBy(*keys).agg(F.min_by(F.struct(*columns), _best("score")).alias("best"))
-    return requests.select(*keys).join(best, keys, "left").select(*keys, "best.*")
+    # Requests that agree in their keys may differ in other context, so each has a number of its own.
+    numbered = scratch.keep(requests.withColumn("request", F.monotonically_increasing_id()), "requests")
+    scored = score_rows(model, numbered.join(attributed, "trigger_product_id"))
+    order = W.partitionBy("request").orderBy(F.desc("score"), "recommended_product_id", *_strongest(attributed))
+    best = scored.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") == 1).select("request", *columns)
+    return numbered.select("request", *keys).join(best, "request", "left").select(*keys, *columns)

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +19,9 @@ from pannier.sources.star import star_tables, star_type_lines
 from pannier.sources.tables import read_csv, write_table
 from pannier.sources.schemas import MASTER, TABLES
 
-SAMPLE_ORDERS, SAMPLE_USERS = 5000, 300
+SAMPLE_ORDERS, SAMPLE_USERS = 1000, 100
 THRESHOLD = 0.16  # decision threshold where the score is a confidence
-ROUNDS = 5  # boosting rounds of the registered model queries
+MAX_TRAIN_ROWS = 20_000  # labelled rows the registered ranker is fitted to; it scores all
 RANGES = {
     "order_dow": (0, 6),
     "order_hour_of_day": (0, 23),
@@ -39,7 +38,9 @@ def stages(spark: SparkSession, folder: str) -> Stages:
     """The stage outputs for a source folder, built once per application."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stages:
-        _stages[key] = Stages(configure(spark), lambda: star_tables(spark, folder), rounds=ROUNDS)
+        _stages[key] = Stages(
+            configure(spark), lambda: star_tables(spark, folder), max_train_rows=MAX_TRAIN_ROWS
+        )
     return _stages[key]
 
 
@@ -167,17 +168,17 @@ def first_orders(st: Stages) -> DataFrame:
 
 @query
 def renamed_lines(st: Stages) -> DataFrame:
-    return st.lines("test").withColumnsRenamed(cand.TRIGGER_NAMES)
+    return st.master.drop("split").withColumnsRenamed(cand.TRIGGER_NAMES)
 
 
 @query
 def later_purchase_labels(st: Stages) -> DataFrame:
-    return st.candidates("test").select("order_id", "trigger_product_id", "recommended_product_id", "label")
+    return st.all_candidates.select("order_id", "trigger_product_id", "recommended_product_id", "label")
 
 
 @query
 def purchased_flags(st: Stages) -> DataFrame:
-    flagged = st.candidates("test").withColumn("candidate_purchased", yes_no("label"))
+    flagged = st.all_candidates.withColumn("candidate_purchased", yes_no("label"))
     return profile.value_counts(flagged, "candidate_purchased")
 
 
@@ -246,7 +247,8 @@ def lines_with_departments(st: Stages) -> DataFrame:
 
 @query
 def orphan_counts(st: Stages) -> DataFrame:
-    return profile.orphan_counts(st.tables["orders"], st.tables["order_products"], st.tables["products"])
+    t = st.tables
+    return profile.orphan_counts(t["orders"], t["order_products"], t["products"], t["departments"])
 
 
 def _sampled_master(st: Stages, n: int, unit: str) -> DataFrame:
@@ -264,25 +266,29 @@ def user_sampled_master(st: Stages) -> DataFrame:
     return _sampled_master(st, SAMPLE_USERS, "user")
 
 
+def _expanded(st: Stages) -> DataFrame:
+    """Lines of both splits, each under its own rules."""
+    train, test = (cand.expand(st.lines(s), rules.one_to_one(st.rules(s))) for s in ("train", "test"))
+    return train.unionByName(test)
+
+
 @query
 def candidate_expansion(st: Stages) -> DataFrame:
-    expanded = cand.expand(st.lines("test"), rules.one_to_one(st.rules("test")))
-    return expanded.groupBy("product_name", "consequent").agg(
+    return _expanded(st).groupBy("product_name", "consequent").agg(
         F.count("*").alias("n"), F.sum("add_to_cart_order").cast("bigint").alias("sum_positions")
     )
 
 
 @query
 def outcome_lookup(st: Stages) -> DataFrame:
-    lines = st.lines("test")
-    found = cand.look_up_outcome(cand.expand(lines, rules.one_to_one(st.rules("test"))), cand.purchases(lines))
-    return found.select("order_id", "product_name", "consequent", "actual_add_to_cart_order")
+    train, test = (cand.expand_and_look_up(st.lines(s), rules.one_to_one(st.rules(s))) for s in ("train", "test"))
+    return train.unionByName(test).select("order_id", "product_name", "consequent", "actual_add_to_cart_order")
 
 
 @query
 def recommended_attributes(st: Stages) -> DataFrame:
-    catalogue = prepare.product_catalogue(st.lines("train"))
-    return cand.add_attributes(rules.one_to_one(st.rules("train")), catalogue).select(
+    catalogue = prepare.product_catalogue(st.master)
+    return cand.add_attributes(rules.one_to_one(rules.generate_rules(st.master)), catalogue).select(
         "antecedent", "consequent", *cand.RECOMMENDED_NAMES.values()
     )
 
@@ -307,31 +313,29 @@ def candidates_test_train_rules(st: Stages) -> DataFrame:
 
 @query
 def basket_items(st: Stages) -> DataFrame:
-    return itemsets.baskets(st.lines("train")).select("order_id", F.array_join("items", ",").alias("items"))
+    return itemsets.baskets(st.master).select("order_id", F.array_join("items", ",").alias("items"))
 
 
 @query
 def encoded_items(st: Stages) -> DataFrame:
-    return itemsets.encode_long(st.lines("train"))
+    return itemsets.encode_long(st.master)
 
 
 @query
 def encoded_vectors(st: Stages) -> DataFrame:
-    encoder, vectors = itemsets.encode_vectors(itemsets.baskets(st.lines("train")))
-    vocabulary = st.spark.createDataFrame(list(enumerate(encoder.vocabulary)), "at int, item string")
-    totals = vectors.select(Summarizer.numNonZeros(F.col("presence")).alias("n"))
-    counts = totals.select(F.posexplode(vector_to_array("n")).alias("at", "n"))
-    return counts.join(vocabulary, "at").select("item", F.col("n").cast("bigint").alias("n_orders"))
+    vocabulary, vectors = itemsets.encode_vectors(st.master)
+    counts = vectors.select(F.explode("presence").alias("code")).groupBy("code").agg(F.count("*").alias("n_orders"))
+    return counts.join(vocabulary, "code").select("item", "n_orders")
 
 
 @query
 def item_support(st: Stages) -> DataFrame:
-    return itemsets.item_support(st.lines("train"))
+    return itemsets.item_support(st.master)
 
 
 @query
 def frequent_pairs(st: Stages) -> DataFrame:
-    return itemsets.frequent_pairs(itemsets.frequent_baskets(st.lines("train")))
+    return itemsets.frequent_pairs(itemsets.frequent_baskets(st.master))
 
 
 def _type_itemsets(spark: SparkSession, folder: str) -> DataFrame:
@@ -384,7 +388,7 @@ def user_counts(st: Stages) -> DataFrame:
 
 @query
 def label_balance(st: Stages) -> DataFrame:
-    return _rounded(profile.value_shares(st.candidates("test"), "label"), "label")
+    return _rounded(profile.value_shares(st.all_candidates, "label"), "label")
 
 
 @query
@@ -400,23 +404,23 @@ def distinct_counts(st: Stages) -> DataFrame:
 
 @query
 def null_counts(st: Stages) -> DataFrame:
-    return profile.null_counts(st.tables["orders"])
+    return _labelled({name: profile.null_counts(df) for name, df in st.tables.items()})
 
 
 @query
 def order_candidate_stats(st: Stages) -> DataFrame:
-    return cand.order_stats(st.candidates("test"))
+    return cand.order_stats(st.all_candidates)
 
 
 @query
 def order_stats_summary(st: Stages) -> DataFrame:
-    stats = cand.order_stats(st.candidates("test"))
+    stats = cand.order_stats(st.all_candidates)
     return _rounded(profile.describe(stats, ["candidates", "positives"]), "column_name")
 
 
 @query
 def orders_with_positive(st: Stages) -> DataFrame:
-    return _rounded(cand.share_with_positive(cand.order_stats(st.candidates("test"))))
+    return _rounded(cand.share_with_positive(cand.order_stats(st.all_candidates)))
 
 
 @query
@@ -453,23 +457,23 @@ def ranked_recommendations(st: Stages) -> DataFrame:
 
 @query
 def sorted_orders(st: Stages) -> DataFrame:
-    return st.tables["orders"].orderBy("user_id", "order_number")
+    return st.tables["orders"].orderBy("user_id", "order_number", "order_id")
 
 
 @query
 def sorted_expansion(st: Stages) -> DataFrame:
-    expanded = cand.expand(st.lines("test"), rules.one_to_one(st.rules("test")))
-    return expanded.orderBy("order_id", "add_to_cart_order").select(
+    return _expanded(st).orderBy("order_id", "add_to_cart_order", "consequent").select(
         "order_id", "add_to_cart_order", "product_name", "consequent", "lift"
     )
 
 
-REQUEST = ["trigger_product_id", "order_hour_of_day", "order_dow"]
+REQUEST = ["trigger_product_id", "order_hour_of_day", "order_dow", "cart_size"]
 
 
 def requests(st: Stages) -> DataFrame:
-    """Every product, hour and day that occurs in the test lines."""
-    return st.lines("test").withColumnRenamed("product_id", "trigger_product_id").select(*REQUEST).distinct()
+    """Every product, hour, day and cart position that occurs in the test lines."""
+    named = {"product_id": "trigger_product_id", "add_to_cart_order": "cart_size"}
+    return st.lines("test").withColumnsRenamed(named).select(*REQUEST).distinct()
 
 
 @query
@@ -527,21 +531,81 @@ def decisions(st: Stages) -> DataFrame:
     return decided.groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
 
-@query
-def model_best_bundles(st: Stages) -> DataFrame:
+def model_bundles(st: Stages) -> DataFrame:
     catalogue = Scratch.of(st.spark).keep(prepare.product_catalogue(st.lines("train")), "catalogue")
-    # Context a request does not name: a first order whose cart holds only the trigger.
+    # Context a request does not name: a first order.
     asked = requests(st).withColumns(
         {
             "days_since_prior_order": F.lit(-1.0),
             "order_number": F.lit(1),
-            "cart_size": F.lit(1),
             "trigger_reordered": F.lit(0),
         }
     )
     return ranking.best_bundle(asked, rules.one_to_one(st.rules("train")), catalogue, REQUEST, st.ranker)
 
 
+@query
+def model_best_bundles(st: Stages) -> DataFrame:
+    return model_bundles(st)
+
+
+@query
+def model_score_counts(st: Stages) -> DataFrame:
+    """Per label the rows with a score, and those whose score is a probability."""
+    return _scored(st).groupBy("label").agg(
+        F.count("score").alias("n_scored"), F.count_if(F.col("score").between(0, 1)).alias("n_probabilities")
+    )
+
+
+@query
+def model_decision_totals(st: Stages) -> DataFrame:
+    """Decisions per label, and those that agree with the score."""
+    decided = model.decide(_scored(st))
+    agrees = (F.col("prediction") == 1) == (F.col("score") >= 0.5)
+    return decided.groupBy("label").agg(F.count("prediction").alias("n_decided"), F.count_if(agrees).alias("n_agreeing"))
+
+
+@query
+def model_bundle_checks(st: Stages) -> DataFrame:
+    """Per request, whether its bundle is among the trigger's rules; without a rule it has none."""
+    pairs = rules.one_to_one(st.rules("train"))
+    catalogue = prepare.product_catalogue(st.lines("train"))
+    allowed = cand.add_attributes(pairs, catalogue).join(
+        catalogue.select(F.col("product_name").alias("antecedent"), F.col("product_id").alias("trigger_product_id")), "antecedent"
+    )
+    keys = ["trigger_product_id", "recommended_product_id"]
+    return model_bundles(st).join(allowed.select(*keys, F.lit(True).alias("allowed")), keys, "left").select(
+        *REQUEST, F.coalesce("allowed", F.lit(False)).alias("allowed")
+    )
+
+
+@query
+def model_metric_checks(st: Stages) -> DataFrame:
+    """The model's metrics against plain recomputations on the same scores: whether they are equal."""
+    scored = Scratch.of(st.spark).keep(_scored(st).select(*ranking.GROUP, "recommended_product_id", "cart_size", "label", "score"), "scored")
+    scored.createOrReplaceTempView("pannier_scored")
+    area = st.spark.sql("""
+        SELECT SUM(IF(label = 1, place, 0)) AS places, SUM(label) AS pos, SUM(1 - label) AS neg FROM (
+            SELECT label, AVG(n) OVER (PARTITION BY score) AS place FROM (
+                SELECT label, score, ROW_NUMBER() OVER (ORDER BY score) AS n FROM pannier_scored))
+    """).select((F.col("places") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg")))
+    right = st.spark.sql("SELECT AVG(IF((score >= 0.5) = (label = 1), 1.0D, 0.0D)) FROM pannier_scored")
+    first = st.spark.sql("""
+        SELECT AVG(label) FROM (SELECT label, ROW_NUMBER() OVER (PARTITION BY order_id, trigger_product_id
+            ORDER BY score DESC, recommended_product_id, cart_size) AS n FROM pannier_scored) WHERE n = 1
+    """)
+    pairs = {
+        "roc_auc": (metrics.roc_auc(scored), area),
+        "accuracy": (metrics.classification_metrics(scored).select("accuracy"), right),
+        "precision_at_1": (metrics.precision_recall_at_k(scored).filter("k = 1").select("precision"), first),
+    }
+    parts = [
+        st.spark.range(1).select(F.lit(name).alias("metric"), (F.abs(a.scalar() - b.scalar()) < 1e-9).alias("equal"))
+        for name, (a, b) in pairs.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Evaluation
 
 

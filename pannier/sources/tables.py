@@ -17,14 +17,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Scan a CSV file under a declared schema, matching columns by their header names.
 
     Spark assigns declared columns by position, so the header is read first to find
-    where they are; columns that are not declared are skipped.
+    where they are; columns that are not declared are skipped. A file of the folder with
+    another header, and text that is not of the declared type, raise an error when read.
     """
     header = spark.read.options(**CSV_FORM).csv(path).columns
     missing = set(schema.names) - set(header)
     if missing:
         raise ValueError(f"{path} lacks the columns {sorted(missing)}")
     in_file = [schema[name] if name in schema.names else StructField(name, StringType()) for name in header]
-    return spark.read.options(**CSV_FORM).schema(StructType(in_file)).csv(path).select(*schema.names)
+    strict = spark.read.options(**CSV_FORM, enforceSchema="false", mode="FAILFAST")
+    return strict.schema(StructType(in_file)).csv(path).select(*schema.names)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -48,7 +50,7 @@ def write_table(df: DataFrame, path: str, form: str = "parquet", partition_by: t
 
 
 def build_clean_tables(raw: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write the clean relational tables in one job and return scans of them."""
+    """Write the clean relational tables one after the other and return scans of them."""
     spark = raw["orders"].sparkSession
     for name, schema in TABLES.items():
         write_table(raw[name].select(*schema.names), f"{folder}/{name}.parquet")

@@ -28,14 +28,14 @@ def rules(carts, min_support, min_confidence, max_size=None):
 
 
 def candidates(carts, pairs):
-    """(order, trigger, position, recommended, label) per line, rule and purchase of the recommended product."""
+    """(order, trigger, position, recommended, label) per line and rule; a product bought again counts by its last position."""
     rows = []
     for order, cart in carts.items():
         for position, trigger in enumerate(cart, 1):
             for left, right in pairs:
                 if left == trigger:
-                    taken = [at for at, name in enumerate(cart, 1) if name == right] or [None]
-                    rows += [(order, trigger, position, right, int(at is not None and at > position)) for at in taken]
+                    last = max((at for at, name in enumerate(cart, 1) if name == right), default=0)
+                    rows.append((order, trigger, position, right, int(last > position)))
     return rows
 
 

@@ -30,14 +30,14 @@ def test_labels_by_cart_position(spark):
     assert (row.support, row.confidence, row.lift) == (0.1, 0.5, 1.1)
 
 
-def test_repeated_lines_multiply_like_a_join(spark):
+def test_a_repeated_product_is_bought_once(spark):
     carts = {1: ["a", "b", "a", "b"], 2: ["b", "b", "a"]}
     found = cand.build_candidates(master_lines(spark, carts), _rules(spark, [("a", "b")]))
     assert _labels(found) == sorted(brute.candidates(carts, [("a", "b")]))
 
 
-@pytest.mark.parametrize("hot_lines", [3, 10_000])
-def test_outsized_orders_give_the_same_candidates(spark, conf, hot_lines):
+@pytest.mark.parametrize("part_rows", [3, 100_000])
+def test_outsized_orders_give_the_same_candidates(spark, conf, part_rows):
     carts = {order: [f"p{(order * k) % 17:02d}" for k in range(1, 1 + order % 5)] for order in range(1, 60)}
     carts[77] = [f"p{i % 40:02d}" for i in range(90)]  # a third of all lines, products repeated
     pairs = [(f"p{i:02d}", f"p{(i * 7 + 3) % 40:02d}") for i in range(40)] + [("p01", "p02"), ("p02", "p01")]
@@ -45,7 +45,7 @@ def test_outsized_orders_give_the_same_candidates(spark, conf, hot_lines):
     expected = sorted(brute.candidates(carts, pairs))
     for threshold in ("10m", "-1"):  # with and without broadcasts
         conf(autoBroadcastJoinThreshold=threshold, adaptive__autoBroadcastJoinThreshold=threshold)
-        looked_up = cand.label(cand.expand_and_look_up(lines, found_rules, hot_lines))
+        looked_up = cand.label(cand.expand_and_look_up(lines, found_rules, part_rows))
         rows = looked_up.select("order_id", "product_name", "add_to_cart_order", "consequent", "label").collect()
         assert sorted(tuple(r) for r in rows) == expected
 
@@ -96,3 +96,13 @@ def test_mined_rules_feed_candidates(spark):
     mined = rules.one_to_one(rules.generate_rules(lines, 0.2, 0.15))
     pairs = [(r.antecedent, r.consequent) for r in mined.collect()]
     assert _labels(cand.build_candidates(lines, mined)) == sorted(brute.candidates(carts, pairs))
+
+
+def test_an_order_below_no_threshold_takes_several_tasks(spark):
+    """9,999 lines of one order with 20 rules each; every candidate comes once."""
+    names = [f"p{i:03d}" for i in range(200)]
+    carts = {1: [names[i % 200] for i in range(9_999)], 2: ["p000", "p001"]}
+    pairs = [(a, names[(i + k) % 200]) for i, a in enumerate(names) for k in range(1, 21)]
+    found = cand.expand_and_look_up(master_lines(spark, carts), _rules(spark, pairs), 10_000)
+    rows = found.filter("order_id = 1").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(rows) > 3 and sum(r["count"] for r in rows) == 9_999 * 20

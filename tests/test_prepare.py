@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,8 +98,9 @@ def test_catalogue_keeps_one_row_per_product(spark):
 
 
 def test_hygiene_checks(shop):
-    found = {r.check_name: r.n for r in profile.orphan_counts(shop["orders"], shop["order_products"], shop["products"]).collect()}
-    assert found == {"lines_without_order": 0, "lines_without_product": 0, "orders_without_lines": 1}
+    found = {r.check_name: r.n for r in profile.orphan_counts(*(shop[n] for n in ("orders", "order_products", "products", "departments"))).collect()}
+    expected = {"lines_without_order": 0, "lines_without_product": 0, "products_without_department": 1, "orders_without_lines": 1}
+    assert found == expected
     nulls = {r.column_name: r.nulls for r in profile.null_counts(shop["orders"]).collect()}
     assert nulls["days_since_prior_order"] == 2 and nulls["order_id"] == 0
     outside = profile.out_of_range(shop["orders"], {"order_dow": (1, 3), "order_number": (2, None)}).collect()
@@ -112,6 +114,27 @@ def test_describe(spark):
     assert round(row["std"], 6) == 4.082483
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 1000])
+def test_quartiles_by_counted_values(spark, n):
+    values = [(k * k % 97) / 4 for k in range(n)] + [None]
+    row = profile.describe(spark.createDataFrame([(v,) for v in values], "v double"), ["v"]).first()
+    assert [row.q25, row.q50, row.q75] == pytest.approx(list(np.quantile(values[:-1], [0.25, 0.5, 0.75])))
+
+
+def test_csv_files_of_other_column_order_or_bad_text_are_refused(spark, tmp_path):
+    folder = tmp_path / "products.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("product_id,product_name,department_id\n1,apple,10\n")
+    (folder / "b.csv").write_text("department_id,product_name,product_id\n20,bread,2\n")
+    with pytest.raises(Exception):
+        read_csv(spark, str(folder), PRODUCTS).collect()
+    (folder / "b.csv").write_text("product_id,product_name,department_id\nx7,cheese,oops\n")
+    with pytest.raises(Exception):
+        read_csv(spark, str(folder), PRODUCTS).collect()
+    (folder / "b.csv").write_text("product_id,product_name,department_id\n2,bread,20\n")
+    assert sorted(tuple(r) for r in read_csv(spark, str(folder), PRODUCTS).collect()) == [(1, "apple", 10), (2, "bread", 20)]
+
+
 def test_csv_columns_go_by_name_and_quotes_double(spark, tmp_path):
     text = 'product_id,product_name,aisle_id,department_id\n7,"Say ""Cheese"", please",61,19\n8,Plain,3,\n'
     (tmp_path / "products.csv").write_text(text)

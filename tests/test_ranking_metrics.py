@@ -37,6 +37,24 @@ def test_lines_at_one_position_resolve_to_the_smaller_trigger(spark):
     assert (first.trigger_product_id, first.confidence, first.label) == (2**31 + 3, 0.6, 0)
 
 
+@pytest.mark.parametrize("triggers", [(2**32 + 1, 2), (2**32 + 1, 1), (-5, 2**32 - 5), (-(2**33), 7)])
+def test_triggers_are_compared_in_full(spark, triggers):
+    rows = [(1, t, 9, 4, 0.1 * at, at % 2) for at, t in enumerate(triggers)]
+    for order in (rows, rows[::-1]):
+        first = ranking.first_recommendations(spark.createDataFrame(order, COLUMNS).coalesce(1)).first()
+        assert first.trigger_product_id == min(triggers)
+        assert (first.confidence, first.label) == next((r[4], r[5]) for r in rows if r[1] == min(triggers))
+
+
+def test_missing_scores_and_labels_are_refused(spark):
+    for row in ((None, 1), (float("nan"), 0), (0.5, None)):
+        df = spark.createDataFrame([(0.9, 1), (0.1, 0), row], "score double, label int")
+        with pytest.raises(Exception, match="1 rows have no score or no label"):
+            metrics.classification_metrics(df).collect()
+        with pytest.raises(ValueError, match="1 rows have no score or no label"):
+            metrics.roc_auc(df)
+
+
 def test_model_metrics_skip_groups_without_positives(scored):
     at = {r.k: r for r in metrics.precision_recall_at_k(scored, (1, 2, 5), "confidence").collect()}
     # groups: (1,1) labels 0,1,1; (1,2) label 0; (2,1) labels 0,0
@@ -69,7 +87,7 @@ def test_auc_matches_pair_counting(spark, digits, buckets):
     # a third of the rows share one score
     rows = [(0.25 if i % 3 == 0 else round(rng.random() ** 3, digits), int(rng.random() < 0.3)) for i in range(600)]
     df = spark.createDataFrame(rows, "score double, label int")
-    assert metrics.roc_auc(df, buckets=buckets).first().roc_auc == pytest.approx(brute.auc(rows), abs=1e-12)
+    assert metrics.roc_auc(df, range_scores=max(1, 400 // buckets)).first().roc_auc == pytest.approx(brute.auc(rows), abs=1e-12)
 
 
 def test_auc_edge_cases(spark):

@@ -125,9 +125,10 @@ def test_encodings(spark):
     assert itemsets.encode_long(lines).count() == 9
     order_baskets = itemsets.baskets(lines)
     assert {r.order_id: r["items"] for r in order_baskets.collect()}[4] == ["b", "c"]
-    encoder, vectors = itemsets.encode_vectors(order_baskets)
+    vocabulary, vectors = itemsets.encode_vectors(lines)
+    names = {r.code: r["item"] for r in vocabulary.collect()}
     vector = {r.order_id: r.presence for r in vectors.collect()}[4]
-    assert sorted(encoder.vocabulary[i] for i in vector.indices) == ["b", "c"]
-    assert set(vector.values) == {1.0}
+    assert sorted(names[code] for code in vector) == ["b", "c"] and vector == sorted(vector)
+    assert len(set(names.values())) == len(names) == lines.select("product_name").distinct().count()
     sizes = {r["size"]: r.n for r in itemsets.size_histogram(order_baskets.withColumn("size", F.size("items"))).collect()}
     assert sizes == {1: 2, 2: 2, 3: 1}
