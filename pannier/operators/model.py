@@ -30,6 +30,7 @@ NUMERIC = [
     "lift",
 ]
 TARGET = "label"
+TASK_ROWS = 50_000  # rows of a bounded training sample in one task
 
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -101,6 +102,8 @@ def fit_ranker(
         seed=seed,
     )
     assembled = assembler().transform(indexer.transform(train)).select("features", TARGET)
+    if max_train_rows is not None:  # thousands of short jobs: few tasks each
+        assembled = assembled.coalesce(max_train_rows // TASK_ROWS + 1)
     assembled = Scratch.of(train.sparkSession).keep(assembled, "training-rows")
     return PipelineModel(stages=[indexer, assembler(), trees.fit(assembled)])
 

@@ -14,11 +14,12 @@ from pannier.operators import candidates as cand
 from pannier.operators import itemsets, metrics, model, prepare, profile, ranking, rules
 from pannier.plans.stages import Stages
 from pannier.session import configure
-from pannier.sources.scratch import Scratch
+from pannier.sources.scratch import Scratch, files_state
 from pannier.sources.star import star_tables, star_type_lines
 from pannier.sources.tables import read_csv, write_table
 from pannier.sources.schemas import MASTER, TABLES
 
+SOURCES = ("orders", "lineitem", "part")
 SAMPLE_ORDERS, SAMPLE_USERS = 1000, 100
 THRESHOLD = 0.16  # decision threshold where the score is a confidence
 MAX_TRAIN_ROWS = 20_000  # labelled rows the registered ranker is fitted to; it scores all
@@ -31,12 +32,17 @@ RANGES = {
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-_stages: dict[tuple[str, str], Stages] = {}
+_stages: dict[tuple[str, str, str], Stages] = {}
+
+
+def reset_stages() -> None:
+    """Forget all stage outputs; the next query builds its own."""
+    _stages.clear()
 
 
 def stages(spark: SparkSession, folder: str) -> Stages:
-    """The stage outputs for a source folder, built once per application."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The stage outputs for a source folder, built once per application and state of its files."""
+    key = (spark.sparkContext.applicationId, folder, files_state(spark, [f"{folder}/{t}.parquet" for t in SOURCES]))
     if key not in _stages:
         _stages[key] = Stages(
             configure(spark), lambda: star_tables(spark, folder), max_train_rows=MAX_TRAIN_ROWS

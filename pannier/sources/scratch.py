@@ -57,6 +57,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(path)
 
 
+def files_state(spark: SparkSession, paths: list[str]) -> str:
+    """Lengths and times of the files at the paths and in folders there, as text."""
+    states = []
+    for path in paths:
+        files, root = _file_system(spark, path)
+        found = files.globStatus(root)
+        for status in found or []:
+            inside = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+            states += [f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}" for s in inside]
+    return "\n".join(sorted(states))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store the path names."""
     files, path = _file_system(spark, path)
@@ -64,6 +76,6 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or else a folder in Spark's warehouse."""
+    """``spark.checkpoint.dir``, or else a folder in Spark's warehouse. Both must be shared by all executors."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/pannier-scratch"

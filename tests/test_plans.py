@@ -1,6 +1,8 @@
 """The physical plans hold what the operators promise."""
 
+import os
 import re
+import shutil
 
 import pytest
 
@@ -67,3 +69,20 @@ def test_no_python_and_no_cross_join(spark, name):
 
 def test_rule_metrics_read_the_candidates_once(st):
     assert plan(metrics.rule_precision_recall_at_k(st.candidates("test"))).count("FileScan") == 1
+
+
+def test_changed_source_files_are_read_again(spark, tmp_path):
+    for table in ("orders", "lineitem", "part"):
+        shutil.copy(f"{SMALL}/{table}.parquet", tmp_path / f"{table}.parquet")
+    first = stages(spark, str(tmp_path))
+    assert stages(spark, str(tmp_path)) is first
+    os.utime(tmp_path / "part.parquet", (1, 1))
+    assert stages(spark, str(tmp_path)) is not first
+
+
+def test_sorted_queries_are_in_a_total_order(spark):
+    rows = [tuple(r) for r in QUERIES["sorted_orders"](spark, SMALL).select("user_id", "order_number", "order_id").collect()]
+    assert rows == sorted(rows) and len(set(rows)) == len(rows)
+    columns = ["order_id", "add_to_cart_order", "consequent"]
+    rows = [tuple(r) for r in QUERIES["sorted_expansion"](spark, SMALL).select(*columns).collect()]
+    assert rows == sorted(rows) and len(set(rows)) == len(rows)
