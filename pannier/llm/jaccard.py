@@ -267,6 +267,35 @@ def _candidates(fine: bool, every: bool):
     return candidates
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a set's shingles in a power of two of groups, about half as many as shingles."""
+    for batch in batches:
+        for part in slices(batch, "_text"):
+            of, hashes = shingles(part.column("_text"))
+            counts = np.bincount(of, minlength=part.num_rows)
+            sketches = []
+            for own, n in zip(np.split(hashes, np.cumsum(counts)[:-1]), counts):
+                groups = max(GROUPS, 1 << int(n // 2).bit_length())
+                found = np.bincount((own % np.uint64(groups)).astype(np.int64), minlength=groups)
+                sketches.append(found.astype("<u2").tobytes())  # n is below 2**16 times its groups
+            yield pa.RecordBatch.from_arrays(
+                [part.column("set_id"), pa.array(counts, pa.int64()), pa.array(sketches, pa.binary())], ["set_id", "n", "sketch"]
+            )
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose smaller counts, in as many groups as both have, allow a link."""
+    for batch in batches:
+        kept = []
+        for one, two, n, m in zip(*(batch.column(c).to_pylist() for c in ("one", "two", "n", "m"))):
+            one, two = (np.frombuffer(x, "<u2").astype(np.int64) for x in (one, two))
+            groups = min(len(one), len(two))
+            one, two = (x.reshape(-1, groups).sum(axis=0) for x in (one, two))
+            kept.append(9 * int(np.minimum(one, two).sum()) >= 4 * (n + m))
+        mask = pa.array(kept, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs of texts that are linked."""
     for batch in batches:
@@ -314,16 +343,18 @@ def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text:
     keyed = distinct.select("set_id", F.explode("block_keys").alias("key")).repartition("key").sortWithinPartitions("key")
     blocks = keyed.mapInArrow(_shared_blocks, "block bigint, set_id bigint").distinct()
     sets = shingled.groupBy("set_id").agg(F.min("n").alias("n"), F.min("vector").alias("vector"), F.min("row_key").alias("row_key"))
-    members = scratch.keep(blocks.join(sets, "set_id"), "block-members")
+    sets = scratch.keep(sets, "distinct-sets")
+    members = scratch.keep(blocks.join(sets.drop("row_key"), "set_id"), "block-members")
 
     def candidates(labels: DataFrame | None, every: bool) -> DataFrame:
         """Pairs to verify, between components so far."""
-        inside = members.drop("row_key").withColumn("component", F.col("set_id"))
-        if labels is not None:
-            joined = members.drop("row_key").join(labels.withColumnRenamed("id", "set_id"), "set_id", "left")
-            inside = joined.withColumn("component", F.coalesce("component", "set_id"))
-            several = inside.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-            inside = inside.join(several.filter("x <> y").select("block"), "block", "left_semi")
+        inside = members.withColumn("component", F.col("set_id"))
+        if labels is not None:  # vectors follow only into blocks of several components
+            light = members.select("block", "set_id").join(labels.withColumnRenamed("id", "set_id"), "set_id", "left")
+            light = light.withColumn("component", F.coalesce("component", "set_id"))
+            several = light.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+            light = scratch.keep(light.join(several.filter("x <> y").select("block"), "block", "left_semi"), "open-blocks")
+            inside = light.join(sets.select("set_id", "n", "vector"), "set_id")
         found = inside.repartition("block").sortWithinPartitions("block").mapInArrow(
             _candidates(labels is not None, every), "a bigint, b bigint, bound double"
         )
@@ -335,25 +366,33 @@ def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text:
     def texts_of(pairs: DataFrame) -> DataFrame:
         """The text of one row of every set in pairs."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sets.select("set_id", "row_key"), "set_id")
-        found = rows.select("row_key", "_text").join(scratch.keep(wanted, "wanted"), "row_key")
-        return scratch.keep(found.select("set_id", "_text").dropDuplicates(["set_id"]), "texts")
-
-    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        asked = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "asked")
-        texts = texts.join(asked, "set_id", "left_semi")
-        one = texts.select(F.col("set_id").alias("a"), F.col("_text").alias("one"))
-        two = texts.select(F.col("set_id").alias("b"), F.col("_text").alias("two"))
-        return scratch.keep(pairs.join(two, "b").join(one, "a").mapInArrow(_verify, "a bigint, b bigint"), "verified")
-
-    labels, links, texts = None, None, None
+        found = rows.select("row_key", "_text").join(wanted.hint("merge"), "row_key").dropDuplicates(["row_key"])
+        return scratch.keep(found.select("set_id", "_text"), "texts")
+
+    def with_both(pairs: DataFrame, values: DataFrame, *columns: tuple[str, str, str]) -> DataFrame:
+        """Pairs with values of both sets. Both sides grow with the corpus, so these are merge joins at any size."""
+        a = values.select(F.col("set_id").alias("a"), *(F.col(c).alias(x) for c, x, _ in columns))
+        b = values.select(F.col("set_id").alias("b"), *(F.col(c).alias(y) for c, _, y in columns))
+        return pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a")
+
+    def verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
+        """The linked pairs; those that finer counts rule out go before texts are moved."""
+        counted = with_both(pairs, sketches, ("sketch", "one", "two"), ("n", "n", "m"))
+        likely = scratch.keep(counted.mapInArrow(_bounded, "a bigint, b bigint"), "likely")
+        asked = likely.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        spoken = texts.join(scratch.keep(asked, "asked"), "set_id", "left_semi")
+        return scratch.keep(with_both(likely, spoken, ("_text", "one", "two")).mapInArrow(_verify, "a bigint, b bigint"), "verified")
+
+    labels, links, texts, sketches = None, None, None, None
     for every in (False, False, True):
         pairs = candidates(labels, every)
         if texts is None:
             texts = texts_of(pairs)  # of all sets that are in any pair
+            sketches = scratch.keep(texts.mapInArrow(_sketches, "set_id bigint, n bigint, sketch binary"), "sketches")
         pairs = pairs.filter("a <> b")
         if pairs.isEmpty():
             break
-        found = verified(pairs, texts)
+        found = verified(pairs, texts, sketches)
         links = found if links is None else links.unionByName(found)
         labels = connected(links)
 
