@@ -15,7 +15,7 @@ from pannier.operators import itemsets, metrics, model, prepare, profile, rankin
 from pannier.plans.stages import Stages
 from pannier.session import configure
 from pannier.sources.scratch import Scratch, files_state
-from pannier.sources.star import star_tables, star_type_lines
+from pannier.sources.star import star_tables, star_type_carts, star_type_lines
 from pannier.sources.tables import read_csv, write_table
 from pannier.sources.schemas import MASTER, TABLES
 
@@ -361,7 +361,33 @@ def general_rules(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(rules.generate_rules(lines, pairs_only=False))
 
 
-QUERIES |= {f.__name__: f for f in (frequent_itemsets, itemset_sizes, general_rules)}
+def _general_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates under rules between itemsets of any size, each standing for its smallest names."""
+    lines = Scratch.of(configure(spark)).keep(star_type_carts(spark, folder), "type-carts")
+    mined = rules.one_to_one(rules.generate_rules(lines, pairs_only=False), collapse="min")
+    ids = lines.select(F.col("product_name").alias("consequent"), F.col("product_id").alias("recommended_product_id")).distinct()
+    found = cand.label(cand.expand_and_look_up(lines, Scratch.of(spark).keep(mined.join(ids, "consequent"), "general-rules")))
+    return found.withColumnsRenamed(cand.TRIGGER_NAMES)
+
+
+def candidates_general_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return _general_candidates(spark, folder).groupBy("trigger_product_id", "recommended_product_id").agg(
+        F.count("*").alias("n"), F.sum("label").cast("bigint").alias("positives"), _r9(F.max("lift")).alias("max_lift")
+    )
+
+
+def ranked_general_rules(spark: SparkSession, folder: str) -> DataFrame:
+    top = ranking.top_k(_general_candidates(spark, folder), 5, "confidence")
+    return top.select(*ranking.GROUP, "rank", "recommended_product_id", _r9("confidence").alias("confidence"), "label")
+
+
+def first_general_rules(spark: SparkSession, folder: str) -> DataFrame:
+    first = ranking.first_recommendations(_general_candidates(spark, folder))
+    return first.withColumn("confidence", _r9("confidence"))
+
+
+GENERAL = (frequent_itemsets, itemset_sizes, general_rules, candidates_general_rules, ranked_general_rules, first_general_rules)
+QUERIES |= {f.__name__: f for f in GENERAL}
 
 
 @query

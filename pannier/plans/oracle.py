@@ -210,6 +210,31 @@ _PARTS |= {
             CAST(count(*) AS DOUBLE) / (SELECT CAST(count(DISTINCT order_id) AS DOUBLE) FROM type_items) AS support
           FROM subsets GROUP BY items) WHERE support >= 0.01""",
     ),
+    "type_rules": (
+        ["type_sets"],
+        """SELECT a.items[1] AS antecedent, c.items[1] AS consequent, z.support,
+          z.support / a.support AS confidence, z.support / a.support / c.support AS lift
+        FROM type_sets z JOIN type_sets a ON a.size < z.size AND list_has_all(z.items, a.items)
+        JOIN type_sets c ON c.size + a.size = z.size AND list_has_all(z.items, c.items)
+          AND NOT list_has_any(a.items, c.items)
+        WHERE z.support / a.support >= 0.15""",
+    ),
+    "type_carts": (
+        [],
+        """SELECT order_id, product_name, dense_rank() OVER (ORDER BY product_name) AS product_id,
+          row_number() OVER (PARTITION BY order_id ORDER BY line, product_name) AS position
+        FROM (SELECT l_orderkey AS order_id, p_type AS product_name, min(l_linenumber) AS line
+          FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)""",
+    ),
+    "type_candidates": (
+        ["type_carts", "type_rules"],
+        """SELECT l.order_id, l.product_id AS trigger_product_id, l.position AS cart_size,
+          p.product_id AS recommended_product_id, r.support, r.confidence, r.lift,
+          CAST(coalesce(b.position > l.position, false) AS INTEGER) AS label
+        FROM type_carts l JOIN type_rules r ON r.antecedent = l.product_name
+        JOIN (SELECT DISTINCT product_name, product_id FROM type_carts) p ON p.product_name = r.consequent
+        LEFT JOIN type_carts b ON b.order_id = l.order_id AND b.product_name = r.consequent""",
+    ),
     "codes": (
         ["train_candidates"],
         "\n        UNION ALL ".join(
@@ -544,6 +569,25 @@ SQL: dict[str, str] = {
         WHERE z.support / a.support >= 0.15""",
         "type_sets",
     ),
+    "candidates_general_rules": _sql(
+        """SELECT trigger_product_id, recommended_product_id, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives,
+        round(max(lift), 9) AS max_lift FROM type_candidates GROUP BY 1, 2""",
+        "type_candidates",
+    ),
+    "ranked_general_rules": _sql(
+        """SELECT order_id, trigger_product_id, CAST(rank AS INTEGER) AS rank, recommended_product_id,
+        round(confidence, 9) AS confidence, label
+        FROM (SELECT *, row_number() OVER (PARTITION BY order_id, trigger_product_id ORDER BY confidence DESC,
+          recommended_product_id, cart_size, lift DESC, support DESC) AS rank FROM type_candidates) WHERE rank <= 5""",
+        "type_candidates",
+    ),
+    "first_general_rules": _sql(
+        """SELECT order_id, recommended_product_id, CAST(cart_size AS INTEGER) AS cart_size, trigger_product_id,
+        round(confidence, 9) AS confidence, label
+        FROM (SELECT *, row_number() OVER (PARTITION BY order_id, recommended_product_id ORDER BY cart_size,
+          trigger_product_id, lift DESC, confidence DESC, support DESC) AS nth FROM type_candidates) WHERE nth = 1""",
+        "type_candidates",
+    ),
     "pair_rules": _sql(f"SELECT {_RULE_COLUMNS} FROM train_rules", "train_rules"),
     "pair_rules_test": _sql(f"SELECT {_RULE_COLUMNS} FROM test_rules", "test_rules"),
     "mined_rules": _sql(f"SELECT {_RULE_COLUMNS} FROM all_rules", "all_rules"),

@@ -119,6 +119,20 @@ def star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: df.select(*TABLES[name].names) for name, df in tables.items()}
 
 
+def star_type_carts(spark: SparkSession, folder: str) -> DataFrame:
+    """Cart lines with the part type as product: one per (order, type), numbered by the first line number."""
+    lineitem, part = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("lineitem", "part"))
+    types = part.select(F.col("p_type").alias("product_name")).distinct()
+    types = types.withColumn("product_id", F.row_number().over(W.orderBy("product_name")).cast("bigint"))  # a row per type
+    placed = (
+        lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy(F.col("l_orderkey").alias("order_id"), F.col("p_type").alias("product_name"))
+        .agg(F.min("l_linenumber").alias("line"))
+    )
+    position = F.row_number().over(W.partitionBy("order_id").orderBy("line", "product_name"))
+    return placed.withColumn("add_to_cart_order", position).join(types, "product_name").drop("line")
+
+
 def star_type_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with the part type as product name; its baskets hold large itemsets."""
     lineitem, part = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("lineitem", "part"))
