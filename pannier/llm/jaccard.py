@@ -74,7 +74,7 @@ def block_keys(of: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> tuple[
     for step in (0, 1):
         classes = size_class + step
         takes = counts > 0 if step == 0 else (5 * counts // 4 >= 1 << classes) & (counts > 0)
-        number = np.where(takes, np.maximum(1, (4 << classes) // 5), 0)
+        number = np.where(takes, np.maximum(1, (3 << classes) // 5), 0)
         base = np.cumsum(number) - number
         chosen = takes[of]
         o, h = of[chosen], hashes[chosen]
@@ -346,11 +346,14 @@ def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text:
     sets = scratch.keep(sets, "distinct-sets")
     members = scratch.keep(blocks.join(sets.drop("row_key"), "set_id"), "block-members")
 
+    texts: DataFrame | None = None  # of sets that are in any pair
+
     def candidates(labels: DataFrame | None, every: bool) -> DataFrame:
         """Pairs to verify, between components so far."""
         inside = members.withColumn("component", F.col("set_id"))
-        if labels is not None:  # vectors follow only into blocks of several components
-            light = members.select("block", "set_id").join(labels.withColumnRenamed("id", "set_id"), "set_id", "left")
+        if labels is not None:  # vectors follow only for sets that were in pairs, and into blocks of several components
+            light = members.select("block", "set_id").join(texts.select("set_id"), "set_id", "left_semi")
+            light = light.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left")
             light = light.withColumn("component", F.coalesce("component", "set_id"))
             several = light.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y"))
             light = scratch.keep(light.join(several.filter("x <> y").select("block"), "block", "left_semi"), "open-blocks")
@@ -383,11 +386,11 @@ def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text:
         spoken = texts.join(scratch.keep(asked, "asked"), "set_id", "left_semi")
         return scratch.keep(with_both(likely, spoken, ("_text", "one", "two")).mapInArrow(_verify, "a bigint, b bigint"), "verified")
 
-    labels, links, texts, sketches = None, None, None, None
+    labels, links, sketches = None, None, None
     for every in (False, False, True):
         pairs = candidates(labels, every)
         if texts is None:
-            texts = texts_of(pairs)  # of all sets that are in any pair
+            texts = texts_of(pairs)
             sketches = scratch.keep(texts.mapInArrow(_sketches, "set_id bigint, n bigint, sketch binary"), "sketches")
         pairs = pairs.filter("a <> b")
         if pairs.isEmpty():
