@@ -394,3 +394,33 @@ def test_license_scan(spark):
         6: (None, None), 7: ("GPL-3.0", "h/a"), 8: ("CC-BY-NC-4.0", "h"), 9: ("CC-BY-NC-4.0", "h"), 10: (None, None),
     }
     assert licenses.scan_with_inheritance(files.limit(0), F.lit(True), ["id"]).count() == 0
+
+
+def test_license_variants(spark):
+    """Statements, headers and license files, none of which is in the fixture."""
+    gnu = "\n# it under the terms of the GNU {} as published by\n# the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.\n#\n# See the file."
+    mit = "MIT License\n\nCopyright (c) 2020 Someone\n\n" + licenses.TEXTS["MIT"].replace("conditions: The", "conditions:\n\nThe")
+    two, three = (f"Copyright 2019, X\n\n{licenses.TEXTS[f'BSD-{n}-Clause']}\n\ndef code(): pass" for n in (2, 3))
+    cases = [
+        ("Licensed under CC BY 4.0", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("Licensed under CC BY-ND 4.0", "CC-BY-ND-4.0"), ("Licensed under CC BY-NC-SA 3.0", "CC-BY-NC-SA-3.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("Text is available under the Creative Commons Attribution 3.0 Unported License", "CC-BY-3.0"),
+        ("This article is available under the terms of the Creative Commons Attribution-ShareAlike 3.0 Unported License", "CC-BY-SA-3.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"), ("Licensed under GPLv3", "GPL-3.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+        ("Released under the BSD License", "BSD"), ("Released under the BSD 2-Clause License.", "BSD-2-Clause"),
+        ("Released under the GPL", "GPL"), ("Licensed under the Apache License, Version 1.1", "Apache-1.1"),
+        (licenses.MIT_GRANT, "MIT"), (licenses.ISC_GRANT, "ISC"), (mit, "MIT"), (two, "BSD-2-Clause"), (three, "BSD-3-Clause"),
+        ("# This program is free software; you can redistribute it and/or modify" + gnu.format("General Public License", 2), "GPL-2.0"),
+        ("# This library is free software; you can redistribute it and/or modify" + gnu.format("Lesser General Public License", 2.1), "LGPL-2.1"),
+        ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Preamble", "GPL-3.0"),
+        ("Released under CC0 1.0", "CC0-1.0"), ("Mozilla Public License Version 2.0\n====\n\n1. Definitions", "MPL-2.0"),
+        ("A long story about people who read the GPL version 3 and the MIT pages and learn a lot from them.", None),
+        ("Ein Haus mit Garten", None), ("mit", None), ("Mit 4", None), ("CC", None), ("Apache", None), ("Permission of the owner is needed.", None), ("CC the manager by 4.0 pm", None),
+    ]
+    frame = spark.createDataFrame([(str(k), t) for k, (t, _) in enumerate(cases)], "path string, text string")
+    found = {r["path"]: r["license"] for r in licenses.scan(frame).collect()}
+    wrong = [(t[:60], found.get(str(k)), name) for k, (t, name) in enumerate(cases) if found.get(str(k)) != name]
+    assert wrong == []
