@@ -29,13 +29,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies, that of the smallest doc_id.
 
-    Of rows that repeat this doc_id one is kept; documents without words or doc_id stay as they are.
+    Of a group's rows that repeat this doc_id, that of the least digest of all columns is kept.
+    Groups are told apart by their texts, not by doc_id. Documents without words, and groups
+    without any doc_id, stay as they are.
     """
     prepare(spark)
-    found = near_duplicates(docs, COLUMNS)
+    found = near_duplicates(docs, COLUMNS, group="_group")
     grouped = (F.col("n_shingles") > 0) & F.col("component_id").isNotNull()
-    first = found.filter(grouped & (F.col("doc_id") == F.col("component_id"))).dropDuplicates(["doc_id"])
-    return first.unionByName(found.filter(~grouped)).select(*COLUMNS)
+    digest = F.sha2(F.to_json(F.struct(*COLUMNS)), 256)
+    smallest = found.filter(grouped & (F.col("doc_id") == F.col("component_id")))
+    first = smallest.groupBy("_group").agg(F.min_by(F.struct(*COLUMNS), digest).alias("row")).select("row.*")
+    return first.unionByName(found.filter(~grouped).select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

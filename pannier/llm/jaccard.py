@@ -311,7 +311,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("a").filter(linked), part.column("b").filter(linked)], ["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text", group: str | None = None
+) -> DataFrame:
     """``keep``, n_shingles and component_id, the smallest key reachable by links of similarity 0.8 or more.
 
     Words are runs of bytes other than ASCII white space, A to Z in lower case; shingles are
@@ -329,6 +331,9 @@ def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text:
     their component is their own key. Repeated rows and equal texts are linked. NULL keys do
     not name a component unless all its keys are NULL. Other columns are ignored; an empty
     table gives an empty result.
+
+    Where keys repeat, components may share a ``component_id``. ``group`` names a column for
+    the component's own number, which they do not share; it is NULL without shingles.
     """
     spark = docs.sparkSession
     scratch = Scratch.of(spark)
@@ -410,4 +415,5 @@ def near_duplicates(docs: DataFrame, keep: list[str], key: str = "doc_id", text:
     smallest = named.filter("n > 0").groupBy("component").agg(F.min("_key").alias("component_id"))
     joined = named.join(smallest, "component", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_key"))
-    return joined.select(*keep, F.col("n").alias("n_shingles"), own.alias("component_id"))
+    numbers = [F.when(F.col("n") > 0, F.col("component")).alias(group)] if group else []
+    return joined.select(*keep, F.col("n").alias("n_shingles"), own.alias("component_id"), *numbers)

@@ -126,20 +126,21 @@ def top_k(
 
     Vectors that are NULL or hold NULL or non-finite components, and rows without a key, take
     no part; only vectors of the same length are compared. Equal vectors with different keys
-    are different rows; ties go to the smaller key. Rows repeating a key are folded to one.
+    are different rows; ties go to the smaller key. Equal rows are folded to one. Different
+    vectors under one key are all candidates, and its queries share one ranking.
     Tables without queries or candidates give an empty result. Scores are 64-bit integers.
     """
     rows = vectors.select(
         F.col(key).cast("bigint").alias("vec_id"), quantised(embedding, scale).alias("vector"), is_query.alias("asks")
     ).filter("vec_id IS NOT NULL AND vector IS NOT NULL")
-    rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"), F.max("asks").alias("asks"))
+    rows = rows.groupBy("vec_id", "vector").agg(F.max("asks").alias("asks"))
     rows = Scratch.of(vectors.sparkSession).keep(rows.withColumn("dim", F.size("vector")), "vectors")
     n, asked = rows.count(), rows.filter("asks").count()
     shards, blocks = max(1, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(asked / BLOCK_QUERIES))
-    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)))
     queries = sharded.filter("asks").select(
         *(F.col(name).alias(name) for name in ("vec_id", "vector", "dim", "shard")),  # columns apart from the candidates'
-        F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"),
+        F.pmod(F.xxhash64("vec_id", "vector", F.lit(1)), F.lit(blocks)).alias("block"),
     )
     found = "query_id bigint, vec_id bigint, score bigint"
     near = (

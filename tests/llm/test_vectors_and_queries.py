@@ -81,3 +81,30 @@ def test_pipeline_of_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = Scratch.of(spark).keep(stage(spark, docs, SMALL), name)
         assert docs.count() == 0
+
+
+def test_near_copies_of_repeated_ids(spark):
+    """A group keeps one row, whatever other texts stand under its doc_id."""
+    def words(name, n=40):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    rows = [(1, words("a")), (1, words("b")), (1, words("c")), (2, words("a") + " end"), (3, words("b")), (1, words("a"))]
+    rows += [(4, words("d")), (None, words("e")), (None, words("e")), (5, ""), (5, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, docs, SMALL).collect()), key=repr)
+    kept = [(1, words("a")), (1, words("b")), (1, words("c")), (4, words("d")), (None, words("e")), (None, words("e")), (5, ""), (5, None)]
+    assert found == sorted(kept, key=repr)
+
+
+def test_top_k_of_repeated_keys(spark, monkeypatch):
+    """Different vectors under one key are all candidates and queries, as in the SQL."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 20)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 2)
+    rng = np.random.default_rng(7)
+    rows = sorted({(int(k), tuple(int(v) for v in rng.integers(-4, 5, 3))) for k in rng.integers(0, 30, 150)})
+    frame = spark.createDataFrame([(k, [v / 1024 for v in x]) for k, x in rows], "vec_id bigint, embedding array<float>")
+    want = []
+    for q in range(0, 30, 10):
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), c) for k, x in rows if k == q for c, y in rows if c != q)
+        want += [(q, rank, c, -score) for rank, (score, c) in enumerate(scored[:10], 1)]
+    assert sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 10 == 0).collect())) == sorted(want)
