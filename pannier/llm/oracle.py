@@ -118,3 +118,122 @@ SELECT page_id, COALESCE(own.license, nearest.license) AS license, COALESCE(own.
     CASE WHEN own.license IS NULL THEN nearest.ancestor END AS inherited_from
 FROM placed LEFT JOIN own USING (path) LEFT JOIN nearest USING (directory)
 """
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Integer k-means round by round: each round's codebook is a table of its own."""
+    steps = ["""
+WITH kept AS (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+        list_transform(embedding, lambda x: CAST(floor(4096 * x::DOUBLE) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pieces AS MATERIALIZED (
+    SELECT r, part, v[part * (len(v) // 8) + 1 : (part + 1) * (len(v) // 8)] AS v
+    FROM kept, (SELECT unnest(range(8)) AS part)
+), book0 AS MATERIALIZED (SELECT part, r - 1 AS entry, v FROM pieces WHERE r <= 16"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+), near{k} AS MATERIALIZED (
+    SELECT r, p.part, p.v, arg_min({{'d': d, 'entry': entry}}, (d, entry)) AS best FROM (
+        SELECT r, p.part, p.v, entry, list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM pieces p JOIN book{k} b ON p.part = b.part
+    ) p GROUP BY r, p.part, p.v""")
+        if k < rounds:
+            steps.append(f"""
+), moved{k} AS (
+    SELECT part, entry, list(m ORDER BY place) AS v FROM (
+        SELECT part, best.entry AS entry, place, CAST(sum(x) AS HUGEINT) AS s, count(*)::HUGEINT AS n,
+            CAST((s - ((s % n + n) % n)) // n AS BIGINT) AS m
+        FROM (SELECT part, best, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM near{k}) GROUP BY ALL
+    ) GROUP BY part, entry
+), book{k + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, COALESCE(m.v, b.v) AS v FROM book{k} b LEFT JOIN moved{k} m ON b.part = m.part AND b.entry = m.entry""")
+    steps.append(f"""
+), coded AS (
+    SELECT r, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY r
+), books AS (
+    SELECT sha256(COALESCE(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry), '')) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books
+""")
+    return "".join(steps)
+
+
+SQL["op11_vector_codes"] = _codes_sql()
+
+SQL["op12_periodic_runs"] = r"""
+WITH RECURSIVE bits(b, k, c) AS (
+    SELECT b, 0, b FROM range(256) t(b)
+    UNION ALL
+    SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (
+    SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8
+), hashed AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+            lambda s, x: xor(s >> 8, t[1 + (xor(s, x) & 255)]))) AS h
+    FROM documents, crc
+), planned AS (
+    SELECT r, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS made, (h // 10) % greatest(len(w), 1) AS a, (h // 10) % 8 AS g8 FROM hashed
+), docs AS MATERIALIZED (
+    SELECT r, doc_id, n,
+        CASE WHEN made THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g8)) END]) ELSE w END AS w
+    FROM planned
+), words AS MATERIALIZED (
+    SELECT r, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM docs
+), grams AS MATERIALIZED (
+    SELECT r, n, i, word || ' ' || lead(word, 1) OVER s || ' ' || lead(word, 2) OVER s || ' ' || lead(word, 3) OVER s || ' ' || lead(word, 4) OVER s AS gram
+    FROM words WINDOW s AS (PARTITION BY r ORDER BY i)
+), diagonal AS (
+    SELECT a.r, b.i - a.i AS q, a.i, a.i - row_number() OVER (PARTITION BY a.r, b.i - a.i ORDER BY a.i) AS island
+    FROM grams a JOIN grams b ON a.r = b.r AND a.gram = b.gram AND b.i > a.i AND 4 * (b.i - a.i) <= a.n
+), stretches AS (
+    SELECT r, q, min(i) AS start, count(*) + 4 + q AS length FROM diagonal GROUP BY r, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+), runs AS MATERIALIZED (
+    SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length
+), listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r
+), top AS (
+    SELECT * FROM runs x
+    WHERE NOT EXISTS (SELECT 1 FROM runs y WHERE y.r = x.r AND (y.length * x.period > x.length * y.period
+        OR y.length * x.period = x.length * y.period AND (y.start, y.period) < (x.start, x.period)))
+), dropped AS (
+    SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+), collapsed AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN dropped USING (r, i) GROUP BY r
+)
+SELECT doc_id, COALESCE(n_runs, 0) AS n_runs, top.start, top.length, top.period, 1000 * top.length // top.period AS exponent_milli,
+    sha256(COALESCE(lines, '')) AS runs_sha256, sha256(COALESCE(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (r) LEFT JOIN top USING (r) LEFT JOIN collapsed USING (r)
+"""
+
+SQL["op13_decontamination"] = r"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item,
+        regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS MATERIALIZED (
+    SELECT DISTINCT item, size, array_to_string(w[s + 1 : s + size], ' ') AS said
+    FROM (SELECT item, w, least(len(w), 10) AS size, unnest(range(len(w) - least(len(w), 10) + 1)) AS s FROM items WHERE len(w) > 0)
+), places AS (
+    SELECT r, s, size, array_to_string(w[s + 1 : s + size], ' ') AS said
+    FROM (SELECT r, w, size, unnest(range(len(w) - size + 1)) AS s FROM d, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), hits AS MATERIALIZED (
+    SELECT r, s, size, said FROM places SEMI JOIN windows USING (size, said)
+), covered AS (
+    SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + size)) AS i FROM hits) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT r, item FROM hits JOIN windows USING (size, said) WHERE item IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+    sha256(COALESCE(listed, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pannier.llm import quality
+from pannier.llm import codes, quality
+from pannier.llm.contamination import decontaminate
 from pannier.llm.fingerprints import fingerprints
 from pannier.llm.jaccard import near_duplicates
 from pannier.llm.langid import held_out, identify, train
@@ -16,6 +17,7 @@ from pannier.llm.licenses import scan_with_inheritance
 from pannier.llm.mixing import mix
 from pannier.llm.packing import pack
 from pannier.llm.passages import remove_repeats
+from pannier.llm.periods import periodic_runs
 from pannier.llm.token_counts import token_counts
 from pannier.llm.topk import top_k
 from pannier.sources.scratch import Scratch
@@ -103,3 +105,43 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(
         table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", Scratch.of(spark).path("token-cache")
     )
+
+
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, book = codes.compress(table(spark, folder, "embeddings"), ["vec_id", "label"])
+    coded = codes.label_errors(coded, "label")
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(book)).alias("codebooks_sha256"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of the texts, of which a tenth are first made periodic from some word on."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, words = F.floor(h / 10), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    docs = docs.withColumn("words", F.explode(F.array(F.when(h % 10 == 0, words))))
+    n = F.size("words")
+    a = (g % n).cast("int")
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), a), F.slice(repeated, F.lit(1), n - a)), " ")
+    edited = docs.select("doc_id", F.when(n > 0, made).otherwise(F.col("text")).alias("text"))
+
+    found = periodic_runs(edited, ["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])

@@ -49,7 +49,7 @@ def _rows(frame):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     assert _rows(QUERIES[name](spark, SMALL).toPandas()) == _rows(con.execute(SQL[name]).df())
 
