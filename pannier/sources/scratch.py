@@ -40,6 +40,13 @@ class Scratch:
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def discard(self, *tables: DataFrame) -> None:
+        """Delete tables that ``keep`` returned and that nothing reads again."""
+        for df in tables:
+            for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+                if self.root.split(":", 1)[-1].lstrip("/") in folder:
+                    delete(self.spark, folder)
+
     def drop(self) -> None:
         """Delete the folder; tables kept in it can no longer be read."""
         delete(self.spark, self.root)
