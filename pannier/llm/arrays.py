@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 
@@ -68,6 +70,23 @@ class SpanHash:
         return mixed(self.raw(starts, ends) + (ends - starts).astype(np.uint64))
 
 
+def words_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
+    """The words at these spans, which ascend and do not touch, with a number for each different one."""
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] = 1
+    inside[ends] -= 1
+    letters = np.ascontiguousarray(data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)])
+    limits = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(limits), pa.py_buffer(letters)])
+    return words.dictionary_encode()
+
+
+def word_hashes(words: pa.DictionaryArray) -> np.ndarray:
+    """64 bits of a cryptographic hash of every word, computed once for each different one."""
+    different = b"".join(blake2b(word, digest_size=8).digest() for word in words.dictionary.to_pylist())
+    return np.frombuffer(different, "<u8")[words.indices.to_numpy()]
+
+
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of true bytes that do not cross texts: starts, ends and each run's text."""
     n = len(inside)

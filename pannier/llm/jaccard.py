@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -10,13 +11,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pannier.llm.arrays import IS_SPACE, LOWER, SpanHash, mixed, runs, slices, text_bytes
+from pannier.llm.arrays import IS_SPACE, LOWER, mixed, runs, slices, text_bytes, word_hashes, words_array
 from pannier.llm.components import connected
 from pannier.sources.scratch import Scratch
 
 WORDS = 5
 GROUPS, FOLD = 256, 8  # coordinates of a count vector; a tree's boxes add up so many of them to one
 LEAF = 32
+PART = 1024  # sets of a block that one task links first
+HALF = 4096  # of a large block that one task holds against another half, or searches alone
+PAIRS = 100_000  # of a batch
 BITS = 54  # of a shingle's hash; a text's number in its slice takes the bits above
 LOW = np.uint64((1 << BITS) - 1)
 # Similarity 0.8: a link needs 5 * common >= 4 * union, that is 9 * common >= 4 * (n + m), so the
@@ -28,7 +32,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = text_bytes(texts)
     data = LOWER[data]
     starts, ends, of = runs(~IS_SPACE[data], offsets)
-    word = SpanHash(data).of(starts, ends)
+    word = word_hashes(words_array(data, starts, ends))
     counts = np.bincount(of, minlength=len(texts))
     first = np.cumsum(counts) - counts
     short = np.flatnonzero((counts > 0) & (counts < WORDS))
@@ -47,6 +51,27 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (both >> np.uint64(BITS)).astype(np.int64), both & LOW
 
 
+def exact_shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same shingles by their words: numbers that are equal, within these texts, for equal shingles only."""
+    data, offsets = text_bytes(texts)
+    data = LOWER[data]
+    starts, ends, of = runs(~IS_SPACE[data], offsets)
+    words = words_array(data, starts, ends).indices.to_numpy().astype(np.int64) + 1
+    counts = np.bincount(of, minlength=len(texts))
+    first = np.cumsum(counts) - counts
+    length = np.minimum(counts, WORDS)  # 0 stands for words that a short text lacks
+    begin = np.arange(len(of))
+    begin = begin[begin - first[of] <= counts[of] - length[of]]
+    number, size = words[begin], int(words.max(initial=0)) + 1
+    for k in range(1, WORDS):
+        more = length[of[begin]] > k
+        following = np.where(more, words[np.where(more, begin + k, 0)], 0) if len(begin) else begin
+        _, number = np.unique(number * size + following, return_inverse=True)
+    owner = of[begin]
+    both = np.unique(owner * (int(number.max(initial=0)) + 1) + number)
+    return both // (int(number.max(initial=0)) + 1), both % (int(number.max(initial=0)) + 1)
+
+
 def _lowest(of: np.ndarray, values: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ``most[text]`` smallest values of each text."""
     both = np.sort(of.astype(np.uint64) << np.uint64(BITS) | values)
@@ -101,7 +126,7 @@ def block_keys(of: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> tuple[
     return np.concatenate(out_of), np.concatenate(out_keys)
 
 
-SET = "n bigint, set_id bigint, vector binary, block_keys array<bigint>"
+SET = "n bigint, digest binary, vector binary, block_keys array<bigint>"
 
 
 def _sets(keep: list[str]):
@@ -112,8 +137,7 @@ def _sets(keep: list[str]):
                 of, hashes = shingles(part.column("_text"))
                 counts = np.bincount(of, minlength=n)
                 ends = np.cumsum(counts)
-                sums = np.concatenate([[0], np.cumsum(mixed(hashes + np.uint64(0xA5A5)))]).astype(np.uint64)
-                ids = mixed(sums[ends] - sums[ends - counts] + counts.astype(np.uint64)).view(np.int64)
+                digests = [blake2b(own.tobytes(), digest_size=16).digest() for own in np.split(hashes, ends[:-1])]
                 vectors = np.bincount(of * GROUPS + (hashes % np.uint64(GROUPS)).astype(np.int64), minlength=n * GROUPS)
                 vectors = vectors.reshape(n, GROUPS)
                 large = vectors.max(axis=1, initial=0) > 255  # counts are bytes wherever they fit
@@ -122,11 +146,11 @@ def _sets(keep: list[str]):
                 limits = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]).astype(np.int32)
                 columns = [
                     pa.array(counts, pa.int64()),
-                    pa.array(ids),
+                    pa.array(digests, pa.binary()),
                     pa.array([v.astype("<u4" if x else "u1").tobytes() for v, x in zip(vectors, large)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(limits), pa.array(keys[order])),
                 ]
-                names = ["n", "set_id", "vector", "block_keys"]
+                names = ["n", "digest", "vector", "block_keys"]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *columns], [*keep, *names])
 
     return sets
@@ -192,11 +216,13 @@ class RTree:
         self.nodes.append((rows, high, int(sizes.min()), int(sizes.max()), only, children))
         return len(self.nodes) - 1
 
-    def pairs(self, fine: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def pairs(self, fine: bool, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Rows (a, b) of different components that may be linked, and the bound of their similarity.
 
-        With ``fine``, pairs are also held against the bound of all groups.
+        With ``fine``, pairs are also held against the bound of all groups. Where rows have two
+        sides, pairs of one side are left out.
         """
+        crossing = len(side) > 0 and bool((side != side[0]).any())
         stack = [(self.root, self.root)]
         while stack:
             one, two = stack.pop()
@@ -210,6 +236,8 @@ class RTree:
                 common = np.minimum(self.vectors[rows_a][:, None], self.vectors[rows_b][None]).sum(axis=2, dtype=np.int64)
                 total = self.n[rows_a][:, None] + self.n[rows_b][None]
                 fits = (9 * common >= 4 * total) & (self.component[rows_a][:, None] != self.component[rows_b][None])
+                if crossing:
+                    fits &= side[rows_a][:, None] != side[rows_b][None]
                 a, b = np.nonzero(np.triu(fits, 1) if one == two else fits)
                 common, total = common[a, b], total[a, b]
                 if fine and len(a):
@@ -229,40 +257,48 @@ class RTree:
 def _candidates(fine: bool, every: bool):
     """Pairs of a block's sets that its R-tree leaves; unless ``every``, each set's likeliest earlier one.
 
-    In the second case a set that is in pairs, but has no earlier one, is paired with itself.
+    In the second case a set that is in pairs, but has no earlier one, is paired with itself; so
+    is every set of a part of a block, as it may be in pairs with the other parts.
     """
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(out: list[tuple]) -> pa.RecordBatch:
+            a, b, bound = (np.concatenate(c) for c in zip(*out))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bound)], ["a", "b", "bound"])
+
         for frame, starts in _runs_of(batches, "block"):
-            vectors = np.empty((len(frame), GROUPS), np.uint32)
-            for k, raw in enumerate(frame["vector"]):
-                vectors[k] = np.frombuffer(raw, "u1" if len(raw) == GROUPS else "<u4")
-            n, component, ids = (frame[c].to_numpy() for c in ("n", "component", "set_id"))
-            out = []
+            n, component, ids, side, part = (frame[c].to_numpy() for c in ("n", "component", "set_id", "side", "part"))
+            out, held = [], 0
             for begin, end in zip(starts, [*starts[1:], len(frame)]):
                 at = slice(begin, end)
+                vectors = np.empty((end - begin, GROUPS), np.uint32)
+                for k, raw in enumerate(frame["vector"].iloc[at]):
+                    vectors[k] = np.frombuffer(raw, "u1" if len(raw) == GROUPS else "<u4")
                 best: dict[int, tuple[float, int]] = {}
-                met: set[int] = set()
-                for a, b, bound in RTree(vectors[at], n[at], component[at]).pairs(fine):
+                met: set[int] = set(ids[at].tolist()) if not every and part[begin] else set()
+                for a, b, bound in RTree(vectors, n[at], component[at]).pairs(fine, side[at]):
                     a, b = ids[at][a], ids[at][b]
-                    met.update(a.tolist(), b.tolist())
                     earlier, later = np.minimum(a, b), np.maximum(a, b)
                     if every:
                         out.append((earlier, later, bound))
+                        held += len(a)
+                        if held > PAIRS:
+                            yield table(out)
+                            out, held = [], 0
                         continue
+                    met.update(a.tolist(), b.tolist())
                     order = np.lexsort((earlier, -bound, later))
                     first = order[np.concatenate([[True], later[order][1:] != later[order][:-1]])]
                     for k in first:
                         found = (float(bound[k]), int(earlier[k]))
                         if found > best.get(int(later[k]), (-1.0, 0)):
                             best[int(later[k])] = found
-                if best:
+                if best or met:
                     rows = [(e, later, bound) for later, (bound, e) in best.items()]
                     rows += [(x, x, -1.0) for x in met - best.keys()]
                     out.append(tuple(np.array(c) for c in zip(*rows)))
             if out:
-                a, b, bound = (np.concatenate(c) for c in zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bound)], ["a", "b", "bound"])
+                yield table(out)
 
     return candidates
 
@@ -297,17 +333,17 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs of texts that are linked."""
+    """The pairs of texts that are linked, by their words."""
     for batch in batches:
         for part in slices(batch, "one"):
-            of_one, one = shingles(part.column("one"))
-            of_two, two = shingles(part.column("two"))
-            of = np.concatenate([of_one, of_two]).astype(np.uint64)
-            both = np.sort(of << np.uint64(BITS) | np.concatenate([one, two]))
-            twice = both[1:][both[1:] == both[:-1]]
-            common = np.bincount((twice >> np.uint64(BITS)).astype(np.int64), minlength=part.num_rows)
-            total = np.bincount(of.astype(np.int64), minlength=part.num_rows)
-            linked = pa.array(100 * common >= 80 * (total - common))
+            n = part.num_rows
+            both = pa.concat_arrays([part.column(c).cast(pa.large_string()) for c in ("one", "two")])
+            of, number = exact_shingles(both)
+            total = np.bincount(of, minlength=2 * n)
+            pair = np.sort(of % n * (int(number.max(initial=0)) + 1) + number)
+            twice = pair[1:][pair[1:] == pair[:-1]] // (int(number.max(initial=0)) + 1)
+            common = np.bincount(twice, minlength=n)
+            linked = pa.array(100 * common >= 80 * (total[:n] + total[n:] - common))
             yield pa.RecordBatch.from_arrays([part.column("a").filter(linked), part.column("b").filter(linked)], ["a", "b"])
 
 
@@ -326,6 +362,9 @@ def near_duplicates(
     likeliest earlier one, again with the likeliest of another component, and then all pairs
     between sets of a block that are still in different components. So no link between
     components is lost, and a large family of near copies needs a few pairs for each member.
+    A block of more than ``PART`` sets is linked in parts first, then by one set of each
+    component; in the rounds after that, one of more than ``HALF`` is searched by pairs of
+    halves, a task each. So no task holds more than two halves, and none is left out.
 
     Texts that are NULL, empty or without words have no shingles and are linked with nothing;
     their component is their own key. Repeated rows and equal texts are linked. NULL keys do
@@ -335,34 +374,59 @@ def near_duplicates(
     Where keys repeat, components may share a ``component_id``. ``group`` names a column for
     the component's own number, which they do not share; it is NULL without shingles.
     """
-    spark = docs.sparkSession
-    scratch = Scratch.of(spark)
-    row_key = F.xxhash64(F.col(key), F.col(text))
-    rows = docs.select(*keep, row_key.alias("row_key"), F.col(text).alias("_text"))
-    kept = [*keep, "row_key"]
+    if key not in keep:
+        raise ValueError("keep must hold the key")
+    scratch = Scratch.of(docs.sparkSession)
+    rows = docs.select(*keep, F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("text_id"), F.col(text).alias("_text"))
+    kept = [*keep, "text_id"]
     kinds = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in kept)
     measured = scratch.keep(rows.mapInArrow(_sets(kept), f"{kinds}, {SET}"), "sets")
-    shingled = measured.filter("n > 0")
 
-    distinct = shingled.select("set_id", "block_keys").dropDuplicates(["set_id"])
-    keyed = distinct.select("set_id", F.explode("block_keys").alias("key")).repartition("key").sortWithinPartitions("key")
+    # Equal sets are one, with a number of its own; any of their texts stands for them.
+    held = [F.first(c).alias(c) for c in ("n", "vector", "block_keys")]
+    sets = measured.filter("n > 0").groupBy("digest").agg(F.min("text_id").alias("text_id"), *held)
+    sets = scratch.keep(sets.withColumn("set_id", F.monotonically_increasing_id()), "distinct-sets")
+    named = measured.select(*keep, F.col(key).alias("_key"), "n", "digest").join(sets.select("digest", "set_id"), "digest", "left")
+    named = scratch.keep(named.drop("digest"), "rows")
+    scratch.discard(measured)
+
+    keyed = sets.select("set_id", F.explode("block_keys").alias("key")).repartition("key").sortWithinPartitions("key")
     blocks = keyed.mapInArrow(_shared_blocks, "block bigint, set_id bigint").distinct()
-    sets = shingled.groupBy("set_id").agg(F.min("n").alias("n"), F.min("vector").alias("vector"), F.min("row_key").alias("row_key"))
-    sets = scratch.keep(sets, "distinct-sets")
-    members = scratch.keep(blocks.join(sets.drop("row_key"), "set_id"), "block-members")
+    members = scratch.keep(blocks, "block-members")
+
+    def parted(light: DataFrame, most: int, halves: bool) -> DataFrame:
+        """Blocks of more than ``most`` sets cut by a hash into parts, or into pairs of halves, that are blocks of their own."""
+        large = light.groupBy("block").count().filter(F.col("count") > most)
+        cut = light.join(scratch.keep(large.withColumn("parts", F.ceil(F.col("count") / most).cast("int")).drop("count"), "large-blocks"), "block", "left")
+        cut = cut.withColumn("side", F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("set_id"), "parts").cast("int")))
+        cut = cut.withColumn("part", F.col("parts").isNotNull())
+        if halves:
+            other = F.when(F.col("part"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0)))
+            cut = cut.withColumn("other", F.explode(other))
+            name = F.xxhash64("block", F.least("side", "other"), F.greatest("side", "other"))
+        else:
+            name = F.xxhash64("block", "side")
+        cut = cut.withColumn("block", F.when(F.col("part"), name).otherwise(F.col("block")))
+        return cut.select("block", "set_id", "component", F.col("side") if halves else F.lit(0).alias("side"), "part")
 
     texts: DataFrame | None = None  # of sets that are in any pair
 
-    def candidates(labels: DataFrame | None, every: bool) -> DataFrame:
-        """Pairs to verify, between components so far."""
-        inside = members.withColumn("component", F.col("set_id"))
-        if labels is not None:  # vectors follow only for sets that were in pairs, and into blocks of several components
-            light = members.select("block", "set_id").join(texts.select("set_id"), "set_id", "left_semi")
+    def candidates(labels: DataFrame | None, every: bool, one_each: bool) -> DataFrame:
+        """Pairs to verify, between components so far; ``one_each``: of one set of each component in a block."""
+        light = members
+        if labels is None:
+            light = parted(members.withColumn("component", F.col("set_id")), PART, halves=False)
+        else:  # only sets that were in pairs, and blocks of several components
+            light = members.join(texts.select("set_id"), "set_id", "left_semi")
             light = light.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left")
             light = light.withColumn("component", F.coalesce("component", "set_id"))
-            several = light.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-            light = scratch.keep(light.join(several.filter("x <> y").select("block"), "block", "left_semi"), "open-blocks")
-            inside = light.join(sets.select("set_id", "n", "vector"), "set_id")
+            several = light.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"))
+            several = several.filter("x <> y") if not one_each else several.filter((F.col("x") != F.col("y")) & (F.col("size") > PART))
+            light = light.join(several.select("block"), "block", "left_semi")
+            if one_each:
+                light = light.groupBy("block", "component").agg(F.min("set_id").alias("set_id"))
+            light = parted(scratch.keep(light, "open-blocks"), HALF, halves=True)
+        inside = light.join(sets.select("set_id", "n", "vector"), "set_id")
         found = inside.repartition("block").sortWithinPartitions("block").mapInArrow(
             _candidates(labels is not None, every), "a bigint, b bigint, bound double"
         )
@@ -373,8 +437,8 @@ def near_duplicates(
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         """The text of one row of every set in pairs."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sets.select("set_id", "row_key"), "set_id")
-        found = rows.select("row_key", "_text").join(wanted.hint("merge"), "row_key").dropDuplicates(["row_key"])
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sets.select("set_id", "text_id"), "set_id")
+        found = rows.select("text_id", "_text").join(wanted.hint("merge"), "text_id").dropDuplicates(["text_id"])
         return scratch.keep(found.select("set_id", "_text"), "texts")
 
     def with_both(pairs: DataFrame, values: DataFrame, *columns: tuple[str, str, str]) -> DataFrame:
@@ -392,21 +456,25 @@ def near_duplicates(
         return scratch.keep(with_both(likely, spoken, ("_text", "one", "two")).mapInArrow(_verify, "a bigint, b bigint"), "verified")
 
     labels, links, sketches = None, None, None
-    for every in (False, False, True):
-        pairs = candidates(labels, every)
+    has_large = not members.groupBy("block").count().filter(F.col("count") > PART).isEmpty()
+    for every, one_each in ((False, False), *([(False, True)] if has_large else []), (False, False), (True, False)):
+        pairs = candidates(labels, every, one_each)
         if texts is None:
             texts = texts_of(pairs)
             sketches = scratch.keep(texts.mapInArrow(_sketches, "set_id bigint, n bigint, sketch binary"), "sketches")
         pairs = pairs.filter("a <> b")
         if pairs.isEmpty():
+            if labels is None and has_large:
+                labels = scratch.keep(sets.select(F.col("set_id").alias("id"), F.col("set_id").alias("component")).limit(0), "labels")
+            if one_each or labels is not None and links is None:
+                continue
             break
         found = verified(pairs, texts, sketches)
         links = found if links is None else links.unionByName(found)
         labels = connected(links)
+    if texts is not None:
+        scratch.discard(texts, sketches)
 
-    named = measured.select(*keep, F.col(key).alias("_key"), "n", "set_id") if key in keep else None
-    if named is None:
-        raise ValueError("keep must hold the key")
     if labels is not None:
         named = named.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left")
         named = named.withColumn("component", F.coalesce("component", "set_id"))

@@ -9,24 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pannier.llm.arrays import IS_SPACE, runs, slices, text_bytes
+from pannier.llm.arrays import IS_SPACE, runs, slices, text_bytes, words_array
 
 LEAST, TIMES = 6, 4  # a run has at least so many words, and its period so many times
 RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 FOUND = "n_words bigint, runs array<struct<start:bigint,length:bigint,period:bigint>>, top struct<start:bigint,length:bigint,period:bigint>, collapsed string"
 
 
-def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number for each word, the same for equal words only."""
-    inside = np.zeros(len(data) + 1, np.int8)
-    inside[starts] = 1
-    inside[ends] -= 1
-    letters = np.ascontiguousarray(data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)])
-    limits = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(limits), pa.py_buffer(letters)])
-    return words.dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def _repeated(keys: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranks of equal keys at their places (-1: none or met once), the places met again, and how far before."""
     order = np.argsort(keys, kind="stable")
@@ -116,7 +105,8 @@ def _periodic(keep: list[str]):
                 starts, ends, of = runs(~IS_SPACE[data], offsets)
                 counts = np.bincount(of, minlength=n)
                 first = np.cumsum(counts) - counts
-                matches = earlier_occurrences(word_codes(data, starts, ends), of)
+                codes = words_array(data, starts, ends).indices.to_numpy().astype(np.int64)
+                matches = earlier_occurrences(codes, of)
                 by_text: dict[int, list[tuple[int, int, int]]] = {}
                 dropped = np.zeros(len(starts) + 1, np.int64)
                 for start, length, period in emitted(*(m.tolist() for m in matches)):
