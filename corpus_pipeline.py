@@ -34,12 +34,18 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     without any doc_id, stay as they are.
     """
     prepare(spark)
-    found = near_duplicates(docs, COLUMNS, group="_group")
+    scratch = Scratch.of(spark)
+    marked = docs.select(*COLUMNS, F.unhex(F.md5(F.to_json(F.struct(*COLUMNS)))).alias("_row"))
+    found = scratch.keep(near_duplicates(marked.select("doc_id", "text", "_row"), ["doc_id", "_row"], group="_group"), "groups")
     grouped = (F.col("n_shingles") > 0) & F.col("component_id").isNotNull()
-    digest = F.sha2(F.to_json(F.struct(*COLUMNS)), 256)
     smallest = found.filter(grouped & (F.col("doc_id") == F.col("component_id")))
-    first = smallest.groupBy("_group").agg(F.min_by(F.struct(*COLUMNS), digest).alias("row")).select("row.*")
-    return first.unionByName(found.filter(~grouped).select(*COLUMNS))
+    first = smallest.groupBy("_group", "_row").count().groupBy("_group").agg(F.min(F.struct("_row", "count")).alias("first"))
+    free = found.filter(~grouped).select("_row").distinct().withColumn("count", F.lit(1).cast("bigint"))
+    kept = scratch.keep(first.select("first.*").unionByName(free), "kept-rows")
+    # Texts are read again and moved once; equal rows of a group, which are rare, once more to keep one of them.
+    alone = marked.join(kept.filter("count = 1"), "_row", "left_semi")
+    equal = marked.join(kept.filter("count > 1"), "_row", "left_semi").dropDuplicates(["_row"])
+    return alone.unionByName(equal).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
