@@ -13,7 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pannier.llm.tokens import id_encoder
+from pannier.llm.arrays import slices
+from pannier.llm.tokens import batch_encoder
 from pannier.sources.scratch import Scratch
 
 PIECE = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, `offset` bigint"
@@ -74,8 +75,9 @@ class Windows:
 
 def _place(path: str, end_id: int, size: int, most: int, least_cut: int, schema: pa.Schema):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = id_encoder(path), TaskContext.get().partitionId()
+        encode, part = batch_encoder(path), TaskContext.get().partitionId()
         windows = Windows(size, most, least_cut, part * SEQUENCES_PER_TASK)
+        last = np.array([end_id], "<u4")
 
         def table(rows: list[tuple], closed: bool) -> pa.RecordBatch:
             columns = list(zip(*rows)) or [()] * 7
@@ -83,11 +85,11 @@ def _place(path: str, end_id: int, size: int, most: int, least_cut: int, schema:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
+            for chunk in slices(batch, batch.schema.names[1], rows=4096):
                 done: list[tuple] = []
-                chunk = batch.slice(at, 512)
-                for document, text in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist()):
-                    done += windows.add(document, np.append(encode(text or ""), np.array([end_id], "<u4")))
+                ids, offsets = encode(chunk.column(1))
+                for document, begin, end in zip(chunk.column(0).to_pylist(), offsets[:-1], offsets[1:]):
+                    done += windows.add(document, np.append(ids[begin:end], last))
                 yield table(done, True)
         yield table(windows.rest(), False)
 
