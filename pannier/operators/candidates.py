@@ -75,6 +75,24 @@ def expand_and_look_up(lines: DataFrame, rules: DataFrame, part_rows: int = PART
     return look_up_outcome(expand(spread(triggers, *within), rules), bought, within).drop("part")
 
 
+def look_up_in_buckets(lines: DataFrame, rules: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """``expand_and_look_up`` of lines that lie in buckets by order, without a shuffle of lines or candidates.
+
+    An order's lines multiply and meet its purchases in its bucket. Orders whose candidates fill
+    more than a part would make their bucket too long; they, and no others, are cut into parts
+    by ``expand_and_look_up``.
+    """
+    scratch = Scratch.of(lines.sparkSession)
+    fan_out = scratch.keep(rules.groupBy(F.col("antecedent").alias("product_name")).agg(F.count("*").alias("n_rules")), "fan-out")
+    sizes = lines.join(fan_out, "product_name").groupBy("order_id").agg(F.sum("n_rules").alias("n"))
+    large = scratch.keep(sizes.filter(F.col("n") > part_rows).select("order_id"), "large-orders")
+    small = lines.join(large, "order_id", "left_anti")
+    taken = purchases(small).join(rules.select("consequent"), "consequent", "left_semi")
+    bought = taken.groupBy("order_id", "consequent").agg(F.max("actual_add_to_cart_order").alias("actual_add_to_cart_order"))
+    found = look_up_outcome(expand(small, rules), bought)
+    return found.unionByName(expand_and_look_up(lines.join(large, "order_id", "left_semi"), rules, part_rows))
+
+
 def label(with_outcome: DataFrame) -> DataFrame:
     """1 where the recommended product was put into the cart after the trigger."""
     return with_outcome.withColumn("label", bought_later("actual_add_to_cart_order", "add_to_cart_order"))

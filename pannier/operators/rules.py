@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pannier.operators.itemsets import (
@@ -13,6 +15,7 @@ from pannier.operators.itemsets import (
     frequent_pairs,
 )
 from pannier.sources.schemas import RULES
+from pannier.sources.scratch import Scratch
 
 
 def filter_confidence(rules: DataFrame, min_confidence: float) -> DataFrame:
@@ -54,25 +57,40 @@ def pair_rules(found: FrequentBaskets, min_confidence: float = 0.15, min_lift: f
 def association_rules(
     itemsets: DataFrame, min_confidence: float = 0.15, min_lift: float | None = None
 ) -> DataFrame:
-    """Rules for every way to split a frequent itemset into two non-empty sides.
-
-    A bit mask per split picks the antecedent. Every side is itself frequent, so its
-    support is looked up among the same itemsets.
+    """Rules between the sides of frequent itemsets, with consequents grown item by item.
+
+    Moving an item from the antecedent to the consequent can only raise the antecedent's support
+    and so lower the confidence. A consequent that fails therefore fails with any further item,
+    and only consequents that reached the minimum are grown: two of an itemset that agree but for
+    their last item give one of an item more. So an itemset costs as many lookups as it has rules
+    and failed extensions of them, not all splits of its items. Every side is itself frequent,
+    and its support is looked up among the same itemsets.
     """
-    supports = itemsets.select(F.col("items").alias("side"), F.col("support").alias("side_support"))
-    masks = F.sequence(F.lit(1).cast("bigint"), F.expr("shiftleft(1L, size(items)) - 2"))
-    splits = itemsets.filter(F.size("items") > 1).select("items", "support", F.explode(masks).alias("mask"))
-
-    def side(bit: int) -> Column:
-        return F.expr(f"filter(items, (item, i) -> (shiftright(mask, i) & 1) = {bit})")
+    scratch = Scratch.of(itemsets.sparkSession)
+    sets = scratch.keep(itemsets.select(F.monotonically_increasing_id().alias("id"), "items", "support"), "rule-itemsets")
+    supports = sets.select(F.col("items").alias("side"), F.col("support").alias("side_support"))
 
     def looked_up(rules: DataFrame, name: str) -> DataFrame:
         renamed = supports.withColumnsRenamed({"side": f"{name}s", "side_support": f"{name}_support"})
         return rules.join(renamed, f"{name}s")
 
-    rules = splits.select(side(1).alias("antecedents"), side(0).alias("consequents"), "support")
-    # Confidence needs the antecedent only; filter before the second lookup.
-    rules = looked_up(rules, "antecedent").filter(F.col("support") / F.col("antecedent_support") >= min_confidence)
+    single = F.explode(F.transform("items", lambda item: F.array(item)))
+    level = sets.filter(F.size("items") > 1).select("id", "items", "support", single.alias("consequents"))
+    levels: list[DataFrame] = []
+    while True:
+        split = level.withColumn("antecedents", F.array_except("items", "consequents"))
+        kept = looked_up(split, "antecedent").filter(F.col("support") / F.col("antecedent_support") >= min_confidence)
+        kept = scratch.keep(kept, f"rules-{len(levels) + 1}")
+        if levels and kept.isEmpty():
+            break
+        levels.append(kept)
+        size = len(levels)
+        head, last = F.slice("consequents", 1, size - 1) if size > 1 else F.array().cast("array<string>"), F.element_at("consequents", -1)
+        grown = kept.filter(F.size("items") > size + 1).withColumns({"head": head, "last": last})
+        others = grown.select("id", "head", F.col("last").alias("other"))
+        level = grown.join(others, ["id", "head"]).filter(F.col("other") > F.col("last"))
+        level = level.select("id", "items", "support", F.concat("consequents", F.array("other")).alias("consequents"))
+    rules = reduce(DataFrame.unionByName, levels)
     rules = _with_metrics(looked_up(rules, "consequent")).select(*RULES.names)
     return rules if min_lift is None else filter_lift(rules, min_lift)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pannier.functions.expressions import fill_missing, yes_no
 from pannier.operators import candidates as cand
-from pannier.operators import itemsets, metrics, model, prepare, profile, ranking, rules
+from pannier.operators import itemsets, metrics, model, prepare, profile, ranking, rules, trees
 from pannier.plans.stages import Stages
 from pannier.session import configure
 from pannier.sources.scratch import Scratch, files_state
@@ -240,6 +240,12 @@ def orders_with_lines(st: Stages) -> DataFrame:
     return prepare.join_lines(st.tables["orders"].select(*prepare.ORDER_COLUMNS), st.tables["order_products"])
 
 
+@query
+def bucketed_orders_with_lines(st: Stages) -> DataFrame:
+    """D1 over tables in buckets by order."""
+    return prepare.join_lines(st.bucketed["orders"].select(*prepare.ORDER_COLUMNS), st.bucketed["order_products"])
+
+
 @query
 def lines_with_products(st: Stages) -> DataFrame:
     return prepare.join_products(st.tables["order_products"], st.tables["products"])
@@ -291,6 +297,14 @@ def outcome_lookup(st: Stages) -> DataFrame:
     return train.unionByName(test).select("order_id", "product_name", "consequent", "actual_add_to_cart_order")
 
 
+@query
+def bucketed_outcome_lookup(st: Stages) -> DataFrame:
+    """D4 and D5 over lines in buckets by order."""
+    master = st.bucketed["master"]
+    train, test = (cand.look_up_in_buckets(master.filter(F.col("split") == s), rules.one_to_one(st.rules(s))) for s in ("train", "test"))
+    return train.unionByName(test).select("order_id", "product_name", "consequent", "actual_add_to_cart_order")
+
+
 @query
 def recommended_attributes(st: Stages) -> DataFrame:
     catalogue = prepare.product_catalogue(st.master)
@@ -322,6 +336,12 @@ def basket_items(st: Stages) -> DataFrame:
     return itemsets.baskets(st.master).select("order_id", F.array_join("items", ",").alias("items"))
 
 
+@query
+def bucketed_basket_items(st: Stages) -> DataFrame:
+    """E1 over lines in buckets by order."""
+    return itemsets.baskets(st.bucketed["master"]).select("order_id", F.array_join("items", ",").alias("items"))
+
+
 @query
 def encoded_items(st: Stages) -> DataFrame:
     return itemsets.encode_long(st.master)
@@ -638,6 +658,46 @@ def model_metric_checks(st: Stages) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# A small ensemble in Spark ML's own words, as a parameter; labels of coded columns stand below it.
+SMALL_ENSEMBLE = """
+  Tree 0 (weight 1.0):
+    If (feature 10 <= 0.2)
+     If (feature 1 in {0.0,2.0,3.0,6.0})
+      Predict: -0.8
+     Else (feature 1 not in {0.0,2.0,3.0,6.0})
+      Predict: -0.5
+    Else (feature 10 > 0.2)
+     If (feature 11 <= 1.05)
+      Predict: 0.125
+     Else (feature 11 > 1.05)
+      Predict: 0.375
+  Tree 1 (weight 0.05):
+    If (feature 7 <= 3.5)
+     Predict: 0.75
+    Else (feature 7 > 3.5)
+     If (feature 5 <= 2.0)
+      Predict: 0.125
+     Else (feature 5 > 2.0)
+      Predict: -0.375
+  Tree 2 (weight 0.05):
+    If (feature 0 in {1.0,3.0})
+     Predict: -2.0
+    Else (feature 0 not in {1.0,3.0})
+     Predict: 1.5
+"""
+SMALL_LABELS = {"order_hour_of_day": ["9", "10", "11", "12", "13", "14"], "order_dow": ["6", "0", "3"]}
+
+
+@query
+def tree_scores(st: Stages) -> DataFrame:
+    """Probabilities and decisions of ``SMALL_ENSEMBLE``, compiled into one column, for all test candidates."""
+    ensemble = trees.read_ensemble(SMALL_ENSEMBLE, [*model.CATEGORICAL, *model.NUMERIC], SMALL_LABELS)
+    decided = model.decide(trees.score_trees(ensemble, st.candidates("test")), 0.4)
+    return decided.select(
+        "order_id", "trigger_product_id", "recommended_product_id", "cart_size", _r9("score").alias("score"), "prediction"
+    )
+
+
 # Evaluation
 
 

@@ -716,3 +716,15 @@ SQL: dict[str, str] = {
     "model_metric_checks": """SELECT unnest(['roc_auc', 'accuracy', 'precision_at_1']) AS metric, true AS equal""",
     "rule_precision_recall_at_k": _sql(_means("test", "order"), "test_by_order"),
 }
+SQL |= {f"bucketed_{name}": SQL[name] for name in ("orders_with_lines", "basket_items", "outcome_lookup")}
+SQL["tree_scores"] = _sql(
+    """SELECT order_id, trigger_product_id, recommended_product_id, cart_size, round(p, 9) AS score, CAST(p >= 0.4 AS INTEGER) AS prediction
+    FROM (SELECT *, 1 / (1 + exp(-2 * CAST(a + b + c AS DOUBLE))) AS p FROM (SELECT *,
+      CASE WHEN confidence > 0.2 THEN CASE WHEN lift > 1.05 THEN 0.375 ELSE 0.125 END
+        WHEN order_hour_of_day IN (10, 13, 14) THEN -0.5 WHEN order_hour_of_day BETWEEN 9 AND 14 THEN -0.8
+        ELSE -0.8 END AS a,
+      CASE WHEN cart_size > 3.5 THEN CASE WHEN coalesce(days_since_prior_order, 0) > 2 THEN -0.01875 ELSE 0.00625 END ELSE 0.0375 END AS b,
+      CASE WHEN order_dow IN (6, 3) THEN 0.075 ELSE -0.1 END AS c
+      FROM test_candidates))""",
+    "test_candidates",
+)

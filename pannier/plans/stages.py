@@ -14,7 +14,7 @@ from pannier.operators.model import features, fit_ranker
 from pannier.operators.prepare import build_master, split_column
 from pannier.operators.rules import generate_rules, one_to_one
 from pannier.sources.scratch import Scratch
-from pannier.sources.tables import build_clean_tables, write_table
+from pannier.sources.tables import build_clean_tables, write_bucketed, write_table
 
 
 class Stages:
@@ -62,6 +62,12 @@ class Stages:
         )
         return self.scratch.keep(master.withColumn("split", split_column(seed=self.seed)), "master", ["split"])
 
+    @cached_property
+    def bucketed(self) -> dict[str, DataFrame]:
+        """Orders, their lines and the master table as catalog tables in buckets by order."""
+        tables = {"orders": self.tables["orders"], "order_products": self.tables["order_products"], "master": self.master}
+        return {name: write_bucketed(df, self.scratch.path(f"bucketed-{name}"), "order_id") for name, df in tables.items()}
+
     def lines(self, split: str) -> DataFrame:
         """Master rows of one split."""
         return self.master.filter(F.col("split") == split).drop("split")

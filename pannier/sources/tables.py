@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -55,3 +57,18 @@ def build_clean_tables(raw: dict[str, DataFrame], folder: str) -> dict[str, Data
     for name, schema in TABLES.items():
         write_table(raw[name].select(*schema.names), f"{folder}/{name}.parquet")
     return read_raw(spark, folder, "parquet")
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Write a catalog table at ``path`` in buckets of ``key``, sorted inside, and return its scan.
+
+    Joins and groupings on ``key`` of such tables, or on ``key`` and more, need no shuffle. Rows are
+    shuffled once here, so that each bucket is one file. There are as many buckets as shuffle
+    partitions unless given; NULL keys share a bucket. The table's name is new in every call.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"pannier_{uuid.uuid4().hex[:12]}"
+    laid = df.repartition(buckets, key)
+    laid.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)

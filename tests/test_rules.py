@@ -132,3 +132,46 @@ def test_encodings(spark):
     assert len(set(names.values())) == len(names) == lines.select("product_name").distinct().count()
     sizes = {r["size"]: r.n for r in itemsets.size_histogram(order_baskets.withColumn("size", F.size("items"))).collect()}
     assert sizes == {1: 2, 2: 2, 3: 1}
+
+
+def _mined(spark, orders):
+    """All itemsets of the orders with their supports, by brute force."""
+    from itertools import combinations
+
+    items = sorted(set().union(*orders))
+    rows = []
+    for size in range(1, len(items) + 1):
+        for chosen in combinations(items, size):
+            n = sum(set(chosen) <= set(o) for o in orders)
+            if n:
+                rows.append((list(chosen), size, n, n / len(orders)))
+    return spark.createDataFrame(rows, "items array<string>, size int, freq bigint, support double"), rows
+
+
+@pytest.mark.parametrize("least", [0.0, 0.5, 0.9])
+def test_grown_rules_are_all_rules(spark, least):
+    from itertools import combinations
+
+    itemsets, rows = _mined(spark, ["abcde", "abc", "abd", "acde", "be", "bcde", "abcd"])
+    support = {tuple(r[0]): r[3] for r in rows}
+    want = set()
+    for items, s in support.items():
+        for size in range(1, len(items)):
+            for left in combinations(items, size):
+                if s / support[left] >= least:
+                    want.add((left, tuple(x for x in items if x not in left)))
+    found = rules.association_rules(itemsets, least).collect()
+    assert {(tuple(r["antecedents"]), tuple(r["consequents"])) for r in found} == want and len(found) == len(want)
+
+
+def test_a_long_itemset_is_not_split_in_all_ways(spark):
+    """Thirty items have 2**30 splits; one single consequent passes, so there is one level more and no rule in it."""
+    items = [f"i{k:02d}" for k in range(30)]
+    rows = [(items, 30, 1, 0.1), ([items[7]], 1, 5, 0.5)]
+    rows += [([x for x in items if x != y], 29, 1, 0.1 if y == items[7] else 0.9) for y in items]
+    found = rules.association_rules(spark.createDataFrame(rows, "items array<string>, size int, freq bigint, support double"), 0.6)
+    assert [(r["consequents"], r["confidence"], r["lift"]) for r in found.filter("size(antecedents) = 29").collect()] == [([items[7]], 1.0, 2.0)]
+
+
+def test_rules_of_no_itemsets(spark):
+    assert rules.association_rules(spark.createDataFrame([], "items array<string>, size int, freq bigint, support double")).count() == 0
