@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,12 +125,11 @@ MARKUP = r"(?s)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>"
 SENTENCE = r"([.!?])\s+([A-Z])"
 PARAGRAPH = r"\n[^A-Za-z0-9\n]*(?:\n[^A-Za-z0-9\n]*)+"
 WORD = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
-CUE = (
-    r"(?i)licen[cs]|gpl|mpl|(?<![a-z])(?:cc|mit|bsd|isc)(?![a-z])|creative[^a-z]+commons|apache|permission|redistribution|unencumbered"
-)
+# What every statement of a license holds, as plain strings; short names and "Creative Commons" are looked at closely.
+CUES = ("licens", "licenc", "gpl", "mpl", "apache", "permission", "redistribution", "unencumbered")
+SHORT_CUES, SHORT = ("cc", "mit", "bsd", "isc", "commons"), r"(?<![a-z])(?:cc|mit|bsd|isc)(?![a-z])|creative[^a-z]+commons"
 GRANT = r"(?:permission is hereby granted|permission to use copy modify|redistribution and use in source and binary forms)"
 GRANT_CUE = r"(?i)permission[^a-z0-9]+(?:is|to)[^a-z0-9]|redistribution[^a-z0-9]+and[^a-z0-9]"
-TEXT_WORDS = 260  # of a text from its grant on
 # One name for what is written in several ways, and a mark after phrases that tell licenses apart.
 NAMED = (
     (r"[^a-z0-9.]+|\.(?![0-9])|(?<![0-9])\.", " "),
@@ -173,6 +174,16 @@ def named(text: str) -> str:
     return re.sub(" +", " ", text)
 
 
+def cued(lower: Column) -> Column:
+    """Whether a text in lower case may state a license; strings are found far faster than patterns."""
+    plain = reduce(or_, (lower.contains(c) for c in CUES))
+    return plain | (reduce(or_, (lower.contains(c) for c in SHORT_CUES)) & lower.rlike(SHORT))
+
+
+def with_cues(rows: DataFrame, name: str) -> DataFrame:
+    return once(rows, "_lower", F.lower(name)).filter(cued(F.col("_lower"))).drop("_lower")
+
+
 def named_column(text: Column) -> Column:
     text = F.lower(text)
     for pattern, name in NAMED:
@@ -242,8 +253,8 @@ def scan(
     """(path, license, cosine) of files with a text or notice whose cosine to a license's is ``least`` or more.
 
     Markup is left out. A file's lines, sentences and paragraphs are held against the notices,
-    and ``TEXT_WORDS`` words from its first grant on against the texts; a text goes before any
-    notice. Both sides must hold the same marks (see ``marks``), so a license is never taken for
+    and against the texts what follows each of its grants before the next one, cut where each of
+    the texts would end; a text goes before any notice. Both sides must hold the same marks (see ``marks``), so a license is never taken for
     one of another version, condition or family; what has no license's marks is dropped before
     anything is shuffled. Tokens outside the templates weigh as the rarest, so a long sentence
     that mentions a license is far from a statement of it. A notice that says less than another
@@ -264,19 +275,24 @@ def scan(
     rarity = spark.createDataFrame(sorted(idf.items()), "token string, idf double")
     told = {whole: sorted({p[3] for p in parts if p[2] == whole}) for whole in (False, True)}
 
-    raw = files.select(F.col(path).alias("path"), F.col(text).alias("plain")).filter(F.col("path").isNotNull() & F.col("plain").rlike(CUE))
-    read = once(raw, "plain", F.regexp_replace("plain", MARKUP, "\n")).filter(F.col("plain").rlike(CUE))
+    lengths = sorted({len(words) for (_, _, whole), words in zip(forms, found) if whole}) or [0]
+
+    raw = files.select(F.col(path).alias("path"), F.col(text).alias("plain")).filter(F.col("path").isNotNull() & F.col("plain").isNotNull())
+    read = with_cues(once(with_cues(raw, "plain"), "plain", F.regexp_replace("plain", MARKUP, "\n")), "plain")
     lines = F.split(F.regexp_replace("plain", SENTENCE, "$1\n$2"), "\n+")
     said = read.select("path", F.explode(F.array_distinct(F.concat(lines, F.split("plain", PARAGRAPH)))).alias("said"))
-    said = said.filter(F.col("said").rlike(CUE)).withColumn("whole", F.lit(False))
+    said = with_cues(said, "said").withColumn("whole", F.lit(False))
     said = once(said, "said", named_column(F.col("said")))
     granted = read.filter(F.col("plain").rlike(GRANT_CUE)).select("path", F.lit(True).alias("whole"), F.col("plain").alias("said"))
     granted = once(granted, "said", named_column(F.col("said")))
-    granted = once(granted, "said", F.regexp_extract("said", f"(?s)({GRANT}.*)", 1)).filter("said <> ''")
+    every = F.split(F.regexp_replace("said", f"({GRANT})", "\n$1"), "\n")  # named texts have no line breaks
+    granted = granted.select("path", "whole", F.explode(F.slice(every, F.lit(2), F.size(every))).alias("said"))
 
     def tokens(units: DataFrame, whole: bool) -> DataFrame:
         words = F.regexp_extract_all("said", F.lit(f"({WORD})"))
-        units = once(units, "words", F.slice(words, 1, TEXT_WORDS) if whole else words).drop("said")
+        units = once(units, "words", words).drop("said")
+        if whole:
+            units = units.withColumn("words", F.explode(F.array_distinct(F.array(*(F.slice("words", 1, n) for n in lengths)))))
         units = with_marks(units, whole).filter(F.col("marks").isin(told[whole]))
         return units.select("path", "whole", "marks", F.filter("words", lambda w: ~w.isin(STOP)).alias("words"))
 
@@ -305,8 +321,8 @@ def scan(
 
 
 def directory(path: Column) -> Column:
-    """The path without its last name and the slashes around it."""
-    return F.regexp_replace(path, r"/*[^/]*/*$", "")
+    """The path without its last name; a path that ends with a slash is a directory itself."""
+    return F.when(path.endswith("/"), F.regexp_replace(path, "/+$", "")).otherwise(F.regexp_replace(path, r"/*[^/]*$", ""))
 
 
 def ancestors(path: Column) -> Column:
@@ -328,8 +344,9 @@ def scan_with_inheritance(
     """Per row: ``keep``, license, cosine, and the directory it is inherited from, if it is.
 
     A file has the license it states. Otherwise it has the license that a licence file states
-    in the nearest directory at or above its own; if several do there, the nearest statement
-    counts, then the first name. Directories are looked up once each, not once a file.
+    in the nearest directory at or above its own, where a directory's own page, whose path ends
+    with a slash, lies in that directory, and the first name of a path, such as a host, is the
+    highest. If several do there, the nearest statement counts, then the first name. Directories are looked up once each, not once a file.
 
     NULL texts state nothing, NULL paths and files without an own or inherited license have
     NULLs. Repeated paths are one file with all their statements. Columns of other names are

@@ -76,7 +76,8 @@ WITH RECURSIVE templates(license, notice) AS (VALUES
     SELECT license, token, n * idf / sqrt(SUM(n * idf * n * idf) OVER (PARTITION BY license)) AS part
     FROM template_counts JOIN rarity USING (token)
 ), files AS (
-    SELECT page_id, regexp_replace(regexp_replace(url, '^[A-Za-z]+://', ''), '[?#].*$', '') AS path, html FROM pages
+    SELECT page_id, CASE WHEN contains(address, '/') THEN address ELSE address || '/' END AS path, html
+    FROM (SELECT page_id, regexp_replace(regexp_replace(url, '^[A-Za-z]+://', ''), '[?#].*$', '') AS address, html FROM pages)
 ), said AS (
     SELECT path, unnest(string_split_regex(regexp_replace(
         regexp_replace(html, '(?s)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>', chr(10), 'g'),
@@ -85,23 +86,27 @@ WITH RECURSIVE templates(license, notice) AS (VALUES
 ), spoken AS (
     SELECT DISTINCT path, list_filter(regexp_extract_all(lower(statement), '[a-z]+|[0-9]+(?:\.[0-9]+)*'),
         lambda w: w NOT IN ('a', 'an', 'and', 'are', 'by', 'in', 'into', 'is', 'of', 'or', 'that', 'the', 'this', 'to',
-            'under', 'use', 'with', 'without')) AS words
+            'under', 'use', 'with', 'without')) AS words,
+        regexp_matches(lower(statement), '(^|[^a-z])mit +(software +)?licen[cs]e([^a-z]|$)|(licen[cs]ed?|under)( +(is|under|the|terms|of))* +mit([^a-z]|$)') AS names_mit
     FROM said
 ), weighed AS (
-    SELECT path, words, token, COUNT(*) * COALESCE(ANY_VALUE(idf), ln(9.0) + 1) AS weight
-    FROM (SELECT path, words, unnest(words) AS token FROM spoken) LEFT JOIN rarity USING (token)
-    GROUP BY path, words, token
+    SELECT path, words, names_mit, token, COUNT(*) * COALESCE(ANY_VALUE(idf), ln(9.0) + 1) AS weight
+    FROM (SELECT path, words, names_mit, unnest(words) AS token FROM spoken) LEFT JOIN rarity USING (token)
+    GROUP BY path, words, names_mit, token
 ), lengths AS (
-    SELECT path, words, sqrt(SUM(weight * weight)) AS length FROM weighed GROUP BY path, words
+    SELECT path, words, names_mit, sqrt(SUM(weight * weight)) AS length FROM weighed GROUP BY path, words, names_mit
 ), rated AS (
     SELECT path, license, round(SUM(weight * part) / ANY_VALUE(length), 6) AS cosine
-    FROM weighed JOIN template_weights USING (token) JOIN lengths USING (path, words)
-    GROUP BY path, words, license
+    FROM weighed JOIN template_weights USING (token) JOIN lengths USING (path, words, names_mit)
+    WHERE license <> 'MIT' OR names_mit  -- "mit" is a word of other languages
+    GROUP BY path, words, names_mit, license
 ), own AS (
     SELECT path, license, cosine FROM rated WHERE cosine >= 0.6
     QUALIFY row_number() OVER (PARTITION BY path ORDER BY cosine DESC, license) = 1
 ), placed AS (
-    SELECT page_id, path, regexp_replace(path, '/*[^/]*/*$', '') AS directory FROM files
+    SELECT page_id, path,
+        CASE WHEN suffix(path, '/') THEN regexp_replace(path, '/+$', '') ELSE regexp_replace(path, '/*[^/]*$', '') END AS directory
+    FROM files
 ), declared AS (
     SELECT directory AS ancestor, license, cosine FROM own JOIN (SELECT DISTINCT path, directory FROM placed) USING (path)
     WHERE suffix(path, '/')

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from pannier.sources.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-TOKENIZERS = os.environ.get("PANNIER_TOKENIZERS", "/opt/tokenizers")
+TOKENIZERS = os.environ.get("PANNIER_TOKENIZERS") or os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def prepare(spark: SparkSession) -> None:
@@ -73,6 +74,7 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Pages as files at their address; a page at a directory's address is that directory's licence file."""
     pages = table(spark, folder, "pages")
     address = F.regexp_replace(F.regexp_replace("url", r"^[A-Za-z]+://", ""), r"[?#].*$", "")
+    address = F.when(address.contains("/"), address).otherwise(F.concat(address, F.lit("/")))  # a host alone is its first page
     files = pages.select("page_id", address.alias("path"), F.col("html").alias("text"))
     is_index = F.col("path").endswith("/")
     return scan_with_inheritance(files, is_index, ["page_id"])

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 from pannier.llm.arrays import text_bytes
 
-MEMO_WORDS = 600_000
+MEMO_WORDS, MEMO_UNITS = 300_000, 600_000
 # Kinds of ASCII bytes at which the split pattern always or never cuts; "|" and "<" are parts of special strings.
 OTHER, BREAK, PRINTED, MARK, LETTER = range(5)
 KINDS = np.full(256, OTHER, np.uint8)
@@ -89,7 +89,7 @@ def batch_encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarra
 
     def places(units: list[bytes]) -> np.ndarray:
         nonlocal memo, starts, lengths, used
-        if len(known) > MEMO_WORDS:
+        if len(known) > MEMO_UNITS:
             known.clear()
             used = 0
         new = [unit for unit in units if unit not in known]
