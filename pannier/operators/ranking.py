@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pannier.operators.candidates import add_attributes
 from pannier.operators.model import score as score_rows
@@ -91,3 +92,26 @@ def best_bundle(
     order = W.partitionBy("request").orderBy(F.desc("score"), "recommended_product_id", *_strongest(attributed))
     best = scored.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") == 1).select("request", *columns)
     return numbered.select("request", *keys).join(best, "request", "left").select(*keys, *columns)
+
+
+def best_bundles_on_stream(
+    requests: DataFrame,
+    rules: DataFrame,
+    catalogue: DataFrame,
+    keys: list[str],
+    target: str,
+    checkpoint: str,
+    model: PipelineModel | None = None,
+) -> StreamingQuery:
+    """Answer a stream of requests batch by batch with ``best_bundle``, until all that is there is answered.
+
+    Ranking inside a request is no streaming operation, so each micro-batch is answered as a
+    table. Its answers replace the folder ``target/batch=<number>``: a batch that a lost driver
+    runs again writes its own folder again and no request is answered twice. ``checkpoint`` keeps
+    what has been read; a later call with it answers new requests only.
+    """
+
+    def answer(batch: DataFrame, number: int) -> None:
+        best_bundle(batch, rules, catalogue, keys, model).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return requests.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

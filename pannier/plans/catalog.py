@@ -167,6 +167,14 @@ def largest_order_lines(st: Stages) -> DataFrame:
     return prepare.order_lines(st.master, largest)
 
 
+@query
+def bucketed_order_lines(st: Stages) -> DataFrame:
+    """B6 over lines in buckets by order, of which only the order's own bucket is read."""
+    sizes = st.bucketed["master"].groupBy("order_id").agg(F.count("*").alias("n"))
+    largest = sizes.agg(F.max_by("order_id", F.struct("n", "order_id"))).first()[0]
+    return prepare.order_lines(st.bucketed["master"], largest)
+
+
 @query
 def first_orders(st: Stages) -> DataFrame:
     return prepare.first_orders(st.tables["orders"])
@@ -454,6 +462,17 @@ def distinct_counts(st: Stages) -> DataFrame:
     )
 
 
+@query
+def sketched_distinct_counts(st: Stages) -> DataFrame:
+    """Whether counts from sketches of each day, merged over all days, come within 3 % of the exact ones."""
+    columns = ["order_id", "product_id", "product_name"]
+    days = Scratch.of(st.spark).keep(profile.distinct_sketches(st.master, ["order_dow"], columns), "sketches")
+    about = profile.sketched_counts(days, columns).unpivot([], columns, "column_name", "n_sketched")
+    exact = profile.distinct_counts(st.master, columns)
+    close = F.abs(F.col("n_sketched") - F.col("n_distinct")) <= 0.03 * F.col("n_distinct")
+    return exact.join(about, "column_name").select("column_name", "n_distinct", close.alias("is_close"))
+
+
 @query
 def null_counts(st: Stages) -> DataFrame:
     return _labelled({name: profile.null_counts(df) for name, df in st.tables.items()})
@@ -534,6 +553,20 @@ def best_bundles(st: Stages) -> DataFrame:
     return ranking.best_bundle(requests(st), rules.one_to_one(st.rules("train")), catalogue, REQUEST)
 
 
+@query
+def streamed_best_bundles(st: Stages) -> DataFrame:
+    """F5 with the requests read as a stream of files."""
+    asked = st.scratch.path("request-files")
+    requests(st).repartition(4).write.parquet(asked)
+    catalogue = st.scratch.keep(prepare.product_catalogue(st.lines("train")), "catalogue")
+    source = st.spark.read.parquet(asked).schema
+    stream = st.spark.readStream.schema(source).option("maxFilesPerTrigger", 2).parquet(asked)
+    target = st.scratch.path("answers")
+    pairs = rules.one_to_one(st.rules("train"))
+    ranking.best_bundles_on_stream(stream, pairs, catalogue, REQUEST, target, st.scratch.path("stream-state")).awaitTermination()
+    return st.spark.read.parquet(target).drop("batch")
+
+
 # Features and model
 
 

@@ -728,3 +728,12 @@ SQL["tree_scores"] = _sql(
       FROM test_candidates))""",
     "test_candidates",
 )
+SQL["bucketed_order_lines"] = SQL["largest_order_lines"]
+SQL["streamed_best_bundles"] = SQL["best_bundles"]
+SQL["sketched_distinct_counts"] = _sql(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS is_close FROM full_master"
+        for c in ("order_id", "product_id", "product_name")
+    ),
+    "full_master",
+)

@@ -54,3 +54,13 @@ def test_large_orders_are_cut(spark):
 def test_null_keys_are_kept(spark):
     rows = spark.createDataFrame([(None, "a"), (1, "b"), (None, "c")], "order_id bigint, product_name string")
     assert write_bucketed(rows, Scratch.of(spark).path("bucketed"), "order_id", 3).count() == 3
+
+
+def test_a_lookup_reads_one_bucket(spark):
+    st = catalog.stages(spark, SMALL)
+    order = st.master.first()["order_id"]
+    found = prepare.order_lines(st.bucketed["master"], order)
+    plan = found._jdf.queryExecution().toString()
+    assert re.search(r"SelectedBucketsCount: 1 out of \d+", plan)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, prepare.order_lines(st.master, order).collect()))
+    assert prepare.order_lines(st.bucketed["master"], -5).count() == 0
