@@ -56,7 +56,8 @@ def test_null_keys_are_kept(spark):
     assert write_bucketed(rows, Scratch.of(spark).path("bucketed"), "order_id", 3).count() == 3
 
 
-def test_a_lookup_reads_one_bucket(spark):
+def test_a_lookup_reads_one_bucket(spark, conf):
+    conf(sources__bucketing__autoBucketedScan__enabled="false")  # only so that the plan tells the count; files are left out either way
     st = catalog.stages(spark, SMALL)
     order = st.master.first()["order_id"]
     found = prepare.order_lines(st.bucketed["master"], order)
