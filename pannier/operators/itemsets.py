@@ -11,8 +11,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from pannier.functions.layout import spread
 from pannier.sources.scratch import Scratch
@@ -49,6 +51,51 @@ def encode_vectors(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return vocabulary, coded.groupBy("order_id").agg(F.sort_array(F.collect_list("code")).alias("presence"))
 
 
+def dense_codes(values: DataFrame, code: str = "code") -> DataFrame:
+    """Rows of ``values`` numbered from 0 without a gap, in no order, and never sorted or in one task.
+
+    The table is written with numbers that have gaps between parts; the sums of the sizes of the
+    parts before, a row each, close them.
+    """
+    scratch = Scratch.of(values.sparkSession)
+    numbered = scratch.keep(values.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    sizes = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    joined = numbered.withColumn("_part", part).join(starts, "_part")
+    return joined.withColumn(code, F.col("_start") + place).drop("_id", "_part", "_start")
+
+
+def encode_sparse(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Presence of items as Spark ML's sparse vectors: the vocabulary, and each order's vector of ones.
+
+    As wide as there are different names, NULL included; an order's positions are the codes of its
+    names. The vocabulary, (code, item), is a table like any other, so it is not bounded by
+    the driver's memory, only by the 2**31 positions a vector can have. Vectors are written in
+    the layout ML's type has in Parquet and read as that type; no Python sees them.
+    """
+    spark, scratch = lines.sparkSession, Scratch.of(lines.sparkSession)
+    found = encode_long(lines)
+    items = found.select(F.col("product_name").alias("item")).distinct()
+    vocabulary = scratch.keep(dense_codes(items), "vocabulary")
+    width = vocabulary.count()
+    if width >= 1 << 31:
+        raise ValueError(f"{width} different items are more than a vector has positions")
+    codes = F.sort_array(F.collect_list(F.col("code").cast("int")))
+    held = found.join(vocabulary, found.product_name.eqNullSafe(vocabulary.item)).groupBy("order_id").agg(codes.alias("codes"))
+    # The fields of ML's vector type; type 0 is sparse.
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(width).alias("size"),
+        F.col("codes").alias("indices"),
+        F.transform("codes", lambda _: F.lit(1.0)).alias("values"),
+    )
+    path = scratch.path("sparse-vectors")
+    held.select("order_id", vector.alias("presence")).write.parquet(path)
+    return vocabulary, spark.read.schema(StructType([lines.schema["order_id"], StructField("presence", VectorUDT())])).parquet(path)
+
+
 def item_support(lines: DataFrame) -> DataFrame:
     """Orders holding each item, and their share of all orders."""
     n_orders = lines.agg(F.count_distinct("order_id").alias("n")).scalar()
@@ -162,7 +209,9 @@ def frequent_itemsets(found: FrequentBaskets) -> DataFrame:
     order_codes = scratch.keep(found.per_order.select("codes"), "order-codes")
     # FP-growth rounds its own threshold; half an order less, then the exact filter.
     threshold = max(found.min_support * found.n_orders - 0.5, 0.0) / max(order_codes.count(), 1)
-    mined = FPGrowth(itemsCol="codes", minSupport=min(threshold, 1.0)).fit(order_codes)
+    # Trees of conditional baskets are dealt out as widely as any shuffle; by default the input's few files decide.
+    parts = int(found.per_order.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mined = FPGrowth(itemsCol="codes", minSupport=min(threshold, 1.0), numPartitions=parts).fit(order_codes)
     sets = scratch.keep(
         mined.freqItemsets.select(F.monotonically_increasing_id().alias("id"), F.col("items").alias("codes"), "freq"),
         "itemsets",

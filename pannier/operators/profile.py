@@ -6,7 +6,7 @@ import math
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from pannier.sources.scratch import Scratch
@@ -37,6 +37,63 @@ def table_info(df: DataFrame) -> DataFrame:
     return counted.withColumn("type_name", types[F.col("column_name")])
 
 
+def footer_counts(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """Rows and columns of each Parquet folder, from the files' footers alone.
+
+    Spark's second Parquet reader answers counts, and least and greatest values of numbers and
+    dates, from the statistics each file ends with; no column is read. The reader is chosen in a
+    session of its own, and a row per table comes back from it.
+    """
+    scans = {name: _footer_session(spark).read.parquet(path) for name, path in tables.items()}
+    rows = [(name, df.count(), len(df.columns)) for name, df in scans.items()]
+    return spark.createDataFrame(rows, "table_name string, n_rows bigint, n_columns bigint")
+
+
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """A session whose Parquet reader may answer aggregates from footers."""
+    own = spark.newSession()
+    listed = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in listed if s != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def footer_range_plan(spark: SparkSession, path: str) -> DataFrame:
+    """The one row of counts, least and greatest values that ``footer_ranges`` reads."""
+    df = _footer_session(spark).read.parquet(path)
+    ranged = [c for c, kind in df.dtypes if kind in _FOOTER_TYPES]
+    return df.agg(
+        *[F.count(c).alias(f"n {c}") for c in df.columns],
+        *[F.min(c).alias(f"least {c}") for c in ranged],
+        *[F.max(c).alias(f"greatest {c}") for c in ranged],
+    )
+
+
+# Types whose least and greatest values Parquet footers hold exactly.
+_FOOTER_TYPES = ("tinyint", "smallint", "int", "bigint", "date")
+
+
+def footer_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """Present values, and the least and greatest as text, of each whole-number and date column, from footers alone.
+
+    Columns of other types have their present values counted only. A column without any value
+    has NULL for both ends. Spark refuses to take ends from footers where a file has no value in
+    a column; the columns are then read for them.
+    """
+    columns = _footer_session(spark).read.parquet(path).columns
+    plan = footer_range_plan(spark, path)
+    try:
+        found = plan.first().asDict()
+    except Exception as error:
+        if "spark.sql.parquet.aggregatePushdown" not in str(error):
+            raise
+        plan.sparkSession.conf.set("spark.sql.parquet.aggregatePushdown", "false")
+        found = plan.select("*").first().asDict()
+    ends = [[found.get(f"{end} {c}") for end in ("least", "greatest")] for c in columns]
+    rows = [(c, found[f"n {c}"], *(None if e is None else str(e) for e in both)) for c, both in zip(columns, ends)]
+    return spark.createDataFrame(rows, "column_name string, non_null bigint, least string, greatest string")
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """Missing values per column."""
     return _long(df, "column_name", {c: F.count_if(F.col(c).isNull()) for c in df.columns}, "nulls")
@@ -92,11 +149,59 @@ def orphan_counts(orders: DataFrame, lines: DataFrame, products: DataFrame, depa
 
 def out_of_range(df: DataFrame, ranges: dict[str, tuple[float, float | None]]) -> DataFrame:
     """Present values outside their allowed range, per column; an upper bound of None is open."""
-    def outside(column: str, low: float, high: float | None) -> Column:
-        below = F.col(column) < low
-        return F.count_if(below if high is None else below | (F.col(column) > high))
+    return _long(df, "column_name", {c: F.count_if(_outside(c, *bounds)) for c, bounds in ranges.items()}, "n_outside")
+
+
+def _outside(column: str, low: float, high: float | None) -> Column:
+    below = F.col(column) < low
+    return below if high is None else below | (F.col(column) > high)
+
+
+class Checks:
+    """Counts taken by the job that writes a table, without a scan of their own.
 
-    return _long(df, "column_name", {c: outside(c, *bounds) for c, bounds in ranges.items()}, "n_outside")
+    ``watch`` adds them to a table that is about to be written. They are taken where the rows
+    leave for the files, in the tasks whose results Spark counts once, so lost executors and
+    repeated tasks change nothing. ``rows`` waits for the write and has a row per column:
+    table, column, type, rows, present values, NULLs, values outside ``ranges`` (NULL without a
+    range) and, for each of the ``unique`` columns, in how many rows the most frequent value
+    is (NULL for others; 0 without rows, and NULLs are values too).
+    """
+
+    def __init__(self, ranges: dict[str, tuple[float, float | None]] | None = None, unique: tuple[str, ...] = ()):
+        self.ranges, self.unique = ranges or {}, unique
+        self._watched: dict[str, tuple[list[tuple[str, str]], Observation]] = {}
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` under observation; a table with unique columns is shuffled by each of them, in turn."""
+        keys = [c for c in df.columns if c in self.unique]
+        watched, seen = df, Observation(f"checks of {name}")
+        for key in keys:
+            # A running number streams through a sorted group, whatever its size.
+            watched = watched.withColumn(f"_alike {key}", F.row_number().over(W.partitionBy(key).orderBy(key)))
+        measures = [F.count(F.lit(1)).alias("rows")]
+        for c in df.columns:
+            measures.append(F.count(c).alias(f"present {c}"))
+            if c in self.ranges:
+                measures.append(F.count_if(_outside(c, *self.ranges[c])).alias(f"outside {c}"))
+        measures += [F.coalesce(F.max(f"_alike {key}"), F.lit(0)).alias(f"alike {key}") for key in keys]
+        self._watched[name] = (df.dtypes, seen)
+        return watched.observe(seen, *measures).drop(*(f"_alike {key}" for key in keys))
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The counts of all watched tables, once these are written."""
+        found = []
+        for name, (columns, seen) in self._watched.items():
+            counts = seen.get
+            n = counts["rows"]
+            for c, kind in columns:
+                present = counts[f"present {c}"]
+                found.append((name, c, kind, n, present, n - present, counts.get(f"outside {c}"), counts.get(f"alike {c}")))
+        return spark.createDataFrame(
+            found,
+            "table_name string, column_name string, type_name string, n_rows bigint, non_null bigint, nulls bigint, "
+            "n_outside bigint, most_alike bigint",
+        )
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -107,15 +212,12 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     parts = []
     for column in columns:
-        counted = Scratch.of(df.sparkSession).keep(
-            df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n")), "values"
-        )
         summary = df.agg(
             F.count(column).cast("double").alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"),
             F.min(column).cast("double").alias("min"), F.max(column).cast("double").alias("max"),
         )
-        total = counted.agg(F.sum("n")).first()[0] or 0
-        placed = Scratch.of(df.sparkSession).keep(_running(counted), "placed-values")
+        placed = Scratch.of(df.sparkSession).keep(running_counts(df, column), "placed-values")
+        total = placed.agg(F.sum("n")).first()[0] or 0
 
         def quartile(q: float) -> Column:
             at = q * (total - 1)
@@ -131,8 +233,11 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _running(counted: DataFrame, range_values: int = 10_000) -> DataFrame:
-    """(v, n) with the number of rows ``before`` each value, by running sums over ranges and inside them."""
+def running_counts(df: DataFrame, column: str, range_values: int = 10_000) -> DataFrame:
+    """Each present value ``v`` with its ``n`` rows and the number of rows ``before`` it, by running sums over ranges and inside them."""
+    counted = Scratch.of(df.sparkSession).keep(
+        df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n")), "values"
+    )
     n = counted.count()
     ranges = n // range_values + 1
     cuts = sorted(set(counted.approxQuantile("v", [i / ranges for i in range(1, ranges)], 0.1 / ranges))) if ranges > 1 else []

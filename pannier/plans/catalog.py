@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pannier.functions.expressions import fill_missing, yes_no
 from pannier.operators import candidates as cand
 from pannier.operators import itemsets, metrics, model, prepare, profile, ranking, rules, trees
-from pannier.plans.stages import Stages
+from pannier.plans.stages import RANGES, Stages
 from pannier.session import configure
 from pannier.sources.scratch import Scratch, files_state
 from pannier.sources.star import star_tables, star_type_carts, star_type_lines
@@ -23,12 +23,6 @@ SOURCES = ("orders", "lineitem", "part")
 SAMPLE_ORDERS, SAMPLE_USERS = 1000, 100
 THRESHOLD = 0.16  # decision threshold where the score is a confidence
 MAX_TRAIN_ROWS = 20_000  # labelled rows the registered ranker is fitted to; it scores all
-RANGES = {
-    "order_dow": (0, 6),
-    "order_hour_of_day": (0, 23),
-    "order_number": (1, None),
-    "days_since_prior_order": (0, 30),
-}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,6 +123,27 @@ def table_info(st: Stages) -> DataFrame:
     return _labelled({n: profile.table_info(df) for n, df in {**tables, "master": st.master.drop("split")}.items()})
 
 
+@query
+def footer_row_counts(st: Stages) -> DataFrame:
+    """A6 from the footers of the written tables."""
+    return profile.footer_counts(st.spark, {name: f"{st.clean_folder}/{name}.parquet" for name in st.tables})
+
+
+def footer_column_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """A6 and A7 over the given tables, from their footers."""
+    return _labelled({name: profile.footer_ranges(spark, f"{folder}/{name}.parquet") for name in SOURCES})
+
+
+QUERIES["footer_column_ranges"] = footer_column_ranges
+
+
+@query
+def observed_table_checks(st: Stages) -> DataFrame:
+    """A7, E13, E18 and D6's unique names, counted by the jobs that wrote the tables; a row per count."""
+    counts = ["n_rows", "non_null", "nulls", "n_outside", "most_alike"]
+    return st.checks.unpivot(["table_name", "column_name", "type_name"], counts, "check_name", "n").filter("n IS NOT NULL")
+
+
 # Projections, filters and expressions
 
 
@@ -362,6 +377,15 @@ def encoded_vectors(st: Stages) -> DataFrame:
     return counts.join(vocabulary, "code").select("item", "n_orders")
 
 
+@query
+def sparse_vectors(st: Stages) -> DataFrame:
+    """E2 as vectors of Spark ML: orders per position, by the item it stands for, and the vectors' width."""
+    vocabulary, vectors = itemsets.encode_sparse(st.master)
+    held = vectors.select(F.unwrap_udt("presence").alias("v")).select("v.size", F.explode("v.indices").alias("code"))
+    counts = held.groupBy("code", "size").agg(F.count("*").alias("n_orders"))
+    return counts.join(vocabulary, "code").select("item", "n_orders", F.col("size").cast("bigint").alias("width"))
+
+
 @query
 def item_support(st: Stages) -> DataFrame:
     return itemsets.item_support(st.master)
@@ -669,11 +693,11 @@ def model_metric_checks(st: Stages) -> DataFrame:
     """The model's metrics against plain recomputations on the same scores: whether they are equal."""
     scored = Scratch.of(st.spark).keep(_scored(st).select(*ranking.GROUP, "recommended_product_id", "cart_size", "label", "score"), "scored")
     scored.createOrReplaceTempView("pannier_scored")
-    area = st.spark.sql("""
-        SELECT SUM(IF(label = 1, place, 0)) AS places, SUM(label) AS pos, SUM(1 - label) AS neg FROM (
-            SELECT label, AVG(n) OVER (PARTITION BY score) AS place FROM (
-                SELECT label, score, ROW_NUMBER() OVER (ORDER BY score) AS n FROM pannier_scored))
-    """).select((F.col("places") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg")))
+    # Mean places of equal scores, from running counts over ranges of scores.
+    places = profile.running_counts(scored, "score").select(F.col("v").alias("score"), (F.col("before") + (F.col("n") + 1) / 2).alias("place"))
+    folded = scored.groupBy("score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    area = folded.join(places, "score").agg(F.sum(F.col("pos") * F.col("place")).alias("places"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    area = area.select((F.col("places") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg")))
     right = st.spark.sql("SELECT AVG(IF((score >= 0.5) = (label = 1), 1.0D, 0.0D)) FROM pannier_scored")
     first = st.spark.sql("""
         SELECT AVG(label) FROM (SELECT label, ROW_NUMBER() OVER (PARTITION BY order_id, trigger_product_id

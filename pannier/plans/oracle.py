@@ -369,6 +369,39 @@ def _range_check(column: str, low: int, high: int | None) -> str:
     return f"SELECT '{column}' AS column_name, count(*) FILTER ({column} < {low}{above}) AS n_outside FROM orders_c"
 
 
+def _observed(name: str, source: str, types: dict[str, str], unique: str | None = None) -> str:
+    """What the job that writes a clean table counts, per column."""
+    rows = []
+    for c, kind in types.items():
+        outside = "CAST(NULL AS BIGINT)"
+        if name == "orders" and c in RANGES:
+            low, high = RANGES[c]
+            outside = f"count(*) FILTER ({c} < {low}" + ("" if high is None else f" OR {c} > {high}") + ")"
+        alike = f"(SELECT max(n) FROM (SELECT count(*) AS n FROM {source} GROUP BY {c}))" if c == unique else "CAST(NULL AS BIGINT)"
+        rows.append(
+            f"SELECT '{name}' AS table_name, '{c}' AS column_name, '{kind}' AS type_name, count(*) AS n_rows, count({c}) AS non_null, "
+            f"count(*) - count({c}) AS nulls, {outside} AS n_outside, {alike} AS most_alike FROM {source}"
+        )
+    return " UNION ALL ".join(rows)
+
+
+# Columns of the given tables, and those whose least and greatest values footers hold.
+_GIVEN = {
+    "orders": dict.fromkeys("o_orderkey o_custkey".split(), True) | dict.fromkeys("o_orderstatus o_totalprice o_orderdate o_orderpriority".split(), False),
+    "lineitem": dict.fromkeys("l_orderkey l_partkey l_suppkey l_linenumber".split(), True) | dict.fromkeys("l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split(), False),
+    "part": dict.fromkeys("p_partkey p_size".split(), True) | dict.fromkeys("p_name p_brand p_type p_retailprice".split(), False),
+}
+
+
+def _footers(name: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, count({c}) AS non_null, "
+        + (f"CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest" if ranged else "CAST(NULL AS VARCHAR) AS least, CAST(NULL AS VARCHAR) AS greatest")
+        + f" FROM {name}"
+        for c, ranged in _GIVEN[name].items()
+    )
+
+
 def _distinct(table: str, source: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, '{table}' AS table_name FROM {source}"
@@ -713,7 +746,6 @@ SQL: dict[str, str] = {
         "train_rules",
         "train_catalogue",
     ),
-    "model_metric_checks": """SELECT unnest(['roc_auc', 'accuracy', 'precision_at_1']) AS metric, true AS equal""",
     "rule_precision_recall_at_k": _sql(_means("test", "order"), "test_by_order"),
 }
 SQL |= {f"bucketed_{name}": SQL[name] for name in ("orders_with_lines", "basket_items", "outcome_lookup")}
@@ -737,3 +769,27 @@ SQL["sketched_distinct_counts"] = _sql(
     ),
     "full_master",
 )
+SQL["footer_row_counts"] = SQL["clean_tables"]
+SQL["footer_column_ranges"] = " UNION ALL ".join(map(_footers, _GIVEN))
+SQL["observed_table_checks"] = _sql(
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        [
+            _observed("orders", "orders_c", _typed(_ORDERS)),
+            _observed("order_products", "lines_c", _typed(_LINES)),
+            _observed("products", "products_c", _typed(["product_id", "product_name", "department_id"]), "product_name"),
+            _observed("departments", "departments_c", _typed(["department_id", "department"]), "department"),
+        ]
+    )
+    + ") UNPIVOT (n FOR check_name IN (n_rows, non_null, nulls, n_outside, most_alike))",
+    "orders_c",
+    "lines_c",
+    "products_c",
+    "departments_c",
+)
+SQL["sparse_vectors"] = _sql(
+    """SELECT product_name AS item, count(DISTINCT order_id) AS n_orders,
+    (SELECT count(DISTINCT product_name) + max(CAST(product_name IS NULL AS INTEGER)) FROM full_master) AS width
+    FROM full_master GROUP BY 1""",
+    "full_master",
+)

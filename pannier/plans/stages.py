@@ -12,10 +12,20 @@ from pyspark.sql import functions as F
 from pannier.operators.candidates import build_candidates
 from pannier.operators.model import features, fit_ranker
 from pannier.operators.prepare import build_master, split_column
+from pannier.operators.profile import Checks
 from pannier.operators.rules import generate_rules, one_to_one
 from pannier.sources.scratch import Scratch
 from pannier.sources.tables import build_clean_tables, write_bucketed, write_table
 
+# Values that the clean tables should hold, and columns that tell their rows apart.
+RANGES = {
+    "order_dow": (0, 6),
+    "order_hour_of_day": (0, 23),
+    "order_number": (1, None),
+    "days_since_prior_order": (0, 30),
+}
+UNIQUE = ("product_name", "department")
+
 
 class Stages:
     """Stage outputs over one set of input tables, of all prior orders or ``n`` orders or users.
@@ -50,8 +60,23 @@ class Stages:
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
-        """The clean relational tables."""
-        return build_clean_tables(self._load(), self.scratch.path("clean"))
+        """The clean relational tables, checked by the jobs that write them."""
+        return build_clean_tables(self._load(), self.clean_folder, self._checks.watch)
+
+    @cached_property
+    def clean_folder(self) -> str:
+        """Where the clean tables are written."""
+        return self.scratch.path("clean")
+
+    @cached_property
+    def _checks(self) -> Checks:
+        return Checks(RANGES, UNIQUE)
+
+    @property
+    def checks(self) -> DataFrame:
+        """What was counted as the clean tables were written."""
+        _ = self.tables
+        return self._checks.rows(self.spark)
 
     @cached_property
     def master(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
@@ -51,11 +52,17 @@ def write_table(df: DataFrame, path: str, form: str = "parquet", partition_by: t
     writer.options(**CSV_FORM).csv(path) if form == "csv" else writer.parquet(path)
 
 
-def build_clean_tables(raw: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write the clean relational tables one after the other and return scans of them."""
+def build_clean_tables(
+    raw: dict[str, DataFrame], folder: str, watch: Callable[[str, DataFrame], DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """Write the clean relational tables one after the other and return scans of them.
+
+    ``watch(name, table)`` may put a table under observation before it is written.
+    """
     spark = raw["orders"].sparkSession
     for name, schema in TABLES.items():
-        write_table(raw[name].select(*schema.names), f"{folder}/{name}.parquet")
+        table = raw[name].select(*schema.names)
+        write_table(watch(name, table) if watch else table, f"{folder}/{name}.parquet")
     return read_raw(spark, folder, "parquet")
 
 
