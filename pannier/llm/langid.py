@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pannier.llm.sampling import lowest_marks
+from pannier.sources.scratch import Scratch
+
 PAD = 256  # the symbol after the end of a text; it leaves the state as it is
 WINDOW = 128  # bytes that the network reads at a time
 
@@ -142,7 +145,9 @@ def windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -
     nth = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     at = (starts[of] + nth * size)[None, :] + np.arange(size)[:, None]
     inside = at < ends[of][None, :]
-    return np.where(inside, data[np.where(inside, at, 0)] if len(data) else PAD, PAD).astype(np.int16), of
+    symbols = np.full(at.shape, PAD, np.int16)  # wider than a byte, which PAD does not fit in
+    symbols[inside] = data[at[inside]]
+    return symbols, of
 
 
 def train(
@@ -151,26 +156,26 @@ def train(
     text: str = "text",
     lang: str = "lang",
     docs_per_label: int = 400,
-    sample_chars: int = 512,
+    windows_per_doc: int = 8,
     steps: int = 500,
     hidden: int = 8,
 ) -> Network | None:
     """Fit a network to a bounded sample of the rows that are not held out, or None if there are none.
 
-    The sample is, per language, the ``docs_per_label`` rows lowest by a hash of the key, and
-    of each a span of ``sample_chars`` characters at a place that the hash decides. Only
-    fitting is bounded by it; predictions read whole texts.
+    The sample is, per language, the ``docs_per_label`` different rows lowest by a hash of key
+    and text, and of each ``windows_per_doc`` windows at places of the whole text that the hash
+    decides. Only fitting is bounded by it; predictions read whole texts. Rows that are equal
+    in key, text and language count once.
     """
-    mark = F.xxhash64(F.col(key), F.lit(7))
-    spare = F.greatest(F.length(text) - sample_chars, F.lit(0)) + 1
-    rows = docs.filter(~held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0)).select(
-        F.col(lang).alias("label"),
-        mark.alias("mark"),
-        F.substring(F.col(text), (F.pmod(mark, spare) + 1).cast("int"), F.lit(sample_chars)).alias("piece"),
-    )
-    order = Window.partitionBy("label").orderBy("mark", "piece")
-    sample = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= docs_per_label)
-    sample = sample.select("label", "piece").orderBy("label", "mark", "piece").collect()
+    learns = docs.filter(~held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0))
+    rows = learns.select(F.col(lang).alias("label"), F.col(text).alias("text"), F.xxhash64(key, text, F.lit(7)).alias("mark"))
+    last = lowest_marks(Scratch.of(docs.sparkSession).keep(rows.select("label", "mark"), "language-marks"), docs_per_label, ["label"])
+    chosen = rows.join(last, "label").filter(F.col("mark") <= F.col("last_mark"))
+    spare = F.greatest(F.length("text") - WINDOW // 2, F.lit(0)) + 1
+    places = F.transform(F.sequence(F.lit(1), F.lit(windows_per_doc)), lambda i: F.pmod(F.xxhash64("mark", i), spare).cast("int") + 1)
+    pieces = F.transform(F.array_distinct(places), lambda at: F.substring(F.col("text"), at, F.lit(WINDOW // 2)))
+    picked = chosen.select("label", "mark", pieces.alias("pieces")).dropDuplicates(["label", "mark"])
+    sample = picked.select("label", "mark", F.posexplode("pieces").alias("place", "piece")).orderBy("label", "mark", "place").collect()
     if not sample:
         return None
     labels = sorted({r["label"] for r in sample})

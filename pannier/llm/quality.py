@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pannier.llm.arrays import IS_SPACE, SpanHash, distinct_per_text, runs, slices, text_bytes
+from pannier.llm.sampling import lowest_marks
 from pannier.sources.scratch import Scratch
 
 STATISTICS = [
@@ -145,15 +146,19 @@ class RuleEnsemble:
 def train(
     measured: DataFrame, labels: DataFrame, learns: Column, key: str = "doc_id", label: str = "quality", max_rows: int = 20_000
 ) -> RuleEnsemble:
-    """Fit on the ``max_rows`` labelled rows that are lowest by a hash of the key, among those that ``learns``.
+    """Fit on the ``max_rows`` different labelled rows that are lowest by a hash, among those that ``learns``.
 
     Only fitting is bounded by ``max_rows``. NULL labels and keys are ignored; where a
-    document has several labels, each is a row of its own.
+    document has several labels, each is a row of its own. Rows equal in key, label and
+    statistics count once.
     """
-    known = labels.select(F.col(key), F.col(label).cast("double").alias("label")).dropna()
-    rows = measured.filter(learns).join(known, key).select("label", *STATISTICS, F.xxhash64(key, F.lit(7)).alias("mark"))
-    sample = rows.orderBy("mark", "label").limit(max_rows).drop("mark")
-    return RuleEnsemble.fit(Scratch.of(measured.sparkSession).keep(sample, "quality-sample"), "label")
+    scratch = Scratch.of(measured.sparkSession)
+    known = labels.select(F.col(key), F.col(label).cast("double").alias("label")).dropna().distinct()
+    rows = measured.filter(learns).join(known, key)
+    rows = scratch.keep(rows.select("label", *STATISTICS, F.xxhash64(key, "label", *STATISTICS, F.lit(7)).alias("mark")), "labelled")
+    low = rows.join(lowest_marks(rows, max_rows), rows["mark"] <= F.col("last_mark"))
+    sample = low.dropDuplicates(["mark"]).select("label", *STATISTICS)
+    return RuleEnsemble.fit(scratch.keep(sample, "quality-sample"), "label")
 
 
 def classify(measured: DataFrame, model: RuleEnsemble, keep: list[str], threshold: float = 0.3) -> DataFrame:
