@@ -21,7 +21,7 @@ from pannier.llm.passages import remove_repeats
 from pannier.llm.periods import periodic_runs
 from pannier.llm.token_counts import token_counts
 from pannier.llm.topk import top_k
-from pannier.sources.scratch import Scratch
+from pannier.sources.scratch import Scratch, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,9 +104,9 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts(
-        table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", Scratch.of(spark).path("token-cache")
-    )
+    """Counts join a cache that stays in the shared folder, so later runs encode new texts only."""
+    cache = f"{shared_folder(spark).rstrip('/')}/pannier-token-cache"
+    return token_counts(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", cache)
 
 
 @query
