@@ -51,14 +51,18 @@ class PrefixHash:
         return parts[0] << np.uint64(31) | parts[1]
 
     def extension(self, at: int, other: "PrefixHash", there: int) -> int:
-        """Length of the longest common extension of two positions, by binary search."""
-        low, high = 0, min(self.n - at, other.n - there)
+        """Length of the longest common extension of two positions, by doubling and binary search."""
+        most, low, step = min(self.n - at, other.n - there), 0, 1
+
+        def same(length: int) -> bool:
+            return bool(self.span(at, at + length) == other.span(there, there + length))
+
+        while low + step <= most and same(low + step):
+            low, step = low + step, 2 * step
+        high = min(low + step - 1, most)
         while low < high:
             middle = (low + high + 1) // 2
-            if self.span(at, at + middle) == other.span(there, there + middle):
-                low = middle
-            else:
-                high = middle - 1
+            low, high = (middle, high) if same(middle) else (low, middle - 1)
         return low
 
 
@@ -81,7 +85,7 @@ class Fingerprint:
         if n > 4 * few:  # nearly always enough; equal spans may use up the lowest few
             low = np.unique(np.partition(spans, few)[:few])
             spans = low if len(low) >= SKETCH else spans
-        self.n, self.low = n, np.unique(spans)[:SKETCH]
+        self.n, self.low, self.hashed = n, np.unique(spans)[:SKETCH], hashed
         self.text = f"{n:x}-{int(hashed.span(0, n)):016x}-" + self.low.astype(">u4").tobytes().hex()
 
     def likeness(self, other: "Fingerprint") -> float:
@@ -109,12 +113,12 @@ def _compare(key_type: pa.DataType, names: list[str]):
                         edited = own[: len(own) - half] + text[:half]
                         changed = Fingerprint(edited)
                         digest = hashlib.sha256(edited.encode()).hexdigest()
-                        rows.append(
-                            (before, len(own), digest, own_mark.text, changed.text, own_mark.likeness(changed), own_mark.likeness(mark))
-                        )
+                        common = own_mark.hashed.extension(0, mark.hashed, 0)
+                        likeness = own_mark.likeness(changed), own_mark.likeness(mark)
+                        rows.append((before, len(own), digest, own_mark.text, changed.text, *likeness, common))
                     last = (of, guest, key, text, mark)
-                types = [key_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-                values = list(zip(*rows)) or [()] * 7
+                types = [key_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+                values = list(zip(*rows)) or [()] * 8
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
 
     return compare
@@ -123,6 +127,9 @@ def _compare(key_type: pa.DataType, names: list[str]):
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edit by the next document's start.
 
+    ``common_start`` is how many code points the text and the next document's have in common at
+    their starts, the longest common extension of both.
+
     The next document is that of the next key, and the first after the last. Rows are dealt
     into ranges of the key; a range also gets, as a guest, the first document of the range
     after it, so no order over all rows is built in one place.
@@ -152,8 +159,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     ).select("key", "text", "of", F.lit(True).alias("guest"))
     dealt = placed.withColumn("guest", F.lit(False)).unionByName(visiting).repartition("of")
     ordered = dealt.sortWithinPartitions("of", "guest", F.asc_nulls_first("key"), F.md5("text"))
-    names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = [key_type, "bigint", "string", "string", "string", "double", "double"]
+    names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_start"]
+    kinds = [key_type, "bigint", "string", "string", "string", "double", "double", "bigint"]
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}[key_type]
     return ordered.select("of", "guest", "key", "text").mapInArrow(
         _compare(arrow, names), ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds))
