@@ -27,9 +27,11 @@ def lowest_marks(marks: DataFrame, n: int, by: Sequence[str] = (), mark: str = "
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     needed = counted.withColumn("_before", F.coalesce(F.sum("_least").over(before), F.lit(0))).filter(F.col("_before") < n)
     last = needed.groupBy(*by).agg(F.max("_range").alias("_last_range"))
-    last = Scratch.of(marks.sparkSession).keep(last, "last-ranges")  # a row per group
+    # Written, the row per group has a known size, so that rows meet it where they are.
+    scratch = Scratch.of(marks.sparkSession)
+    last = scratch.keep(last, "last-ranges")
     same = [marks[c].eqNullSafe(last[c]) for c in by]
     low = marks.join(last, [*same, marks["_range"] <= last["_last_range"]], "left_semi")
     place = F.row_number().over(Window.partitionBy(*by).orderBy("_mark"))
     ranked = low.select(*by, "_mark").distinct().withColumn("_place", place).filter(F.col("_place") <= n)
-    return ranked.groupBy(*by).agg(F.max("_mark").alias("last_mark"))
+    return scratch.keep(ranked.groupBy(*by).agg(F.max("_mark").alias("last_mark")), "last-marks")
