@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pannier.llm.arrays import slices
 from pannier.llm.tokens import counter
 from pannier.sources.scratch import exists
 
@@ -36,8 +37,7 @@ def _encode(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counter(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, "text"):
                 found = counts(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array(found, pa.int64())], ["digest", "n_tokens"])
 
