@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pannier.llm.arrays import SpanHash, mixed, slices, text_bytes
@@ -17,8 +15,6 @@ from pannier.sources.scratch import Scratch
 
 LENGTH, TRIGGER = 200, 40  # bytes of a repeated string and of a trigger
 WINDOW = LENGTH - TRIGGER + 1  # triggers that a string holds
-FILTER_BITS = 1 << 28  # of a broadcast filter at most, 32 MB
-BITS_EACH = 16  # of a filter for each of its triggers
 GROUP = 20_000  # phrases of one trigger that are ordered in one piece
 _LOW32 = np.uint64((1 << 32) - 1)
 
@@ -54,55 +50,37 @@ def phrases(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return {"doc": doc[first], "low": low, "n": n, "lead": place - low, "trigger": rolling[place].view(np.int64), "phrase": content.view(np.int64)}
 
 
-def _slots(triggers: np.ndarray, bits: int) -> list[np.ndarray]:
-    spread = triggers.view(np.uint64)
-    return [(mixed(spread + np.uint64(k)) & np.uint64(bits - 1)).astype(np.int64) for k in (1, 2)]
-
-
-def _count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The phrases of every text without their bytes, a row each, at places counted from the text's start."""
     for batch in batches:
         for part in slices(batch, "_text"):
-            found = phrases(*text_bytes(part.column("_text")))
-            yield pa.RecordBatch.from_arrays([pa.array(found["trigger"]), pa.array(found["phrase"])], ["trigger", "phrase"])
-
-
-def _select_phrases(filters, parts: int, part_no: int, bits: int):
-    """Phrases whose trigger may be repeated; with the bytes, once a task, where it may have several phrases."""
-
-    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, several = filters.value
-        sent: set[int] = set()
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                data, offsets = text_bytes(part.column("_text"))
-                found = phrases(data, offsets)
-                hit = found["trigger"].view(np.uint64) % np.uint64(parts) == part_no
-                many = hit.copy()
-                for slot in _slots(found["trigger"], bits):
-                    hit &= repeated[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0
-                    many &= several[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0
-                found = {name: values[hit] for name, values in found.items()}
-                content: list[bytes | None] = []
-                for low, n, phrase, wanted in zip(found["low"], found["n"], found["phrase"], many[hit]):
-                    if wanted and phrase not in sent:
-                        sent.add(phrase)
-                        content.append(data[low : low + n - 1 + LENGTH].tobytes())
-                    else:
-                        content.append(None)
-                columns = {
-                    "row_key": part.column("row_key").take(pa.array(found["doc"])),
-                    "low": pa.array(found["low"] - offsets[found["doc"]]),
-                    "n": pa.array(found["n"].astype(np.int32)),
-                    "lead": pa.array(found["lead"].astype(np.int32)),
-                    "trigger": pa.array(found["trigger"]),
-                    "phrase": pa.array(found["phrase"]),
-                    "content": pa.array(content, pa.binary()),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
-                if len(sent) > 200_000:
-                    sent.clear()
-
-    return select
+            data, offsets = text_bytes(part.column("_text"))
+            found = phrases(data, offsets)
+            columns = {
+                "row_key": part.column("row_key").take(pa.array(found["doc"])),
+                "low": pa.array(found["low"] - offsets[found["doc"]]),
+                "n": pa.array(found["n"].astype(np.int32)),
+                "lead": pa.array(found["lead"].astype(np.int32)),
+                "trigger": pa.array(found["trigger"]),
+                "phrase": pa.array(found["phrase"]),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the phrases that are wanted of each text."""
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["trigger", "phrase", "n", "lead", "content"]
+    for batch in batches:
+        for part in slices(batch, "_text"):
+            rows = []
+            for text, wanted in zip(part.column("_text").to_pylist(), part.column("wanted").to_pylist()):
+                raw = text.encode()
+                for w in wanted:
+                    content = raw[w["low"] : w["low"] + w["n"] - 1 + LENGTH]
+                    rows.append((w["trigger"], w["phrase"], w["n"], w["lead"], content))
+            values = list(zip(*rows)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
 
 
 def _suffix_classes(rows: np.ndarray, lengths: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,56 +176,37 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _filters(repeated: DataFrame, part: Column, bits: int):
-    """Broadcast bit filters of repeated triggers and of those with several phrases; their size is ``bits``."""
-    made = []
-    for rows in (repeated.filter(part), repeated.filter(part & F.col("several"))):
-        filled = np.zeros(bits // 8, np.uint8)
-
-        def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                slot = np.concatenate(_slots(batch.column("trigger").to_numpy(), bits))
-                yield pa.RecordBatch.from_pydict({"word": pa.array(slot >> 5), "bit": pa.array(np.int64(1) << (slot & 31))})
-
-        words = rows.select("trigger").mapInArrow(slots, "word bigint, bit bigint").groupBy("word").agg(F.bit_or("bit").alias("bits"))
-        words = words.toArrow()  # a row per 32 bits of the filter at most
-        filled.view("<u4")[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
-        made.append(filled)
-    return repeated.sparkSession.sparkContext.broadcast(tuple(made))
-
-
-def repeated_spans(rows: DataFrame, group: int = GROUP, filter_bits: int = FILTER_BITS) -> DataFrame:
+def repeated_spans(rows: DataFrame, group: int = GROUP) -> DataFrame:
     """(row_key, spans) of ``rows(row_key, _text)``: where strings of ``LENGTH`` bytes start that start elsewhere too.
 
-    Phrases are counted by trigger first, folding in each task; only triggers met again are
-    followed up. A second reading picks their phrases through bit filters of a bounded size,
-    in as many parts as that takes; a filter lets too much pass at worst, which changes no
-    result. A phrase met again repeats with all its strings. Different phrases of a trigger
-    are compared through suffix order; those of a trigger with more than ``group`` phrases
-    are cut into strings that are counted one by one, so no group meets in one task.
+    The parse, phrases by place without their bytes, is written once; triggers are counted in
+    it, folding in each task, and a join by trigger keeps the phrases of those met again. A
+    phrase met again repeats with all its strings. Different phrases of a trigger enter the
+    dictionary: one place of each is read again from its text, and they are compared through
+    suffix order; those of a trigger with more than ``group`` phrases are cut into strings
+    that are counted one by one, so no group meets in one task. Texts are read twice whatever
+    their number, and nothing goes through the driver.
     """
-    spark = rows.sparkSession
-    scratch = Scratch.of(spark)
-    counted = rows.select("_text").mapInArrow(_count_phrases, "trigger bigint, phrase bigint").groupBy("trigger")
-    counted = counted.agg(F.count("*").alias("times"), F.min("phrase").alias("x"), F.max("phrase").alias("y"))
+    scratch = Scratch.of(rows.sparkSession)
+    schema = "row_key bigint, low bigint, n int, lead int, trigger bigint, phrase bigint"
+    parse = scratch.keep(rows.select("row_key", "_text").mapInArrow(_parse, schema), "parse")
+    counted = parse.groupBy("trigger").agg(F.count("*").alias("times"), F.min("phrase").alias("x"), F.max("phrase").alias("y"))
     again = counted.filter("times > 1").select("trigger", (F.col("x") != F.col("y")).alias("several"))
     again = scratch.keep(again, "triggers")
-    n = again.count()
-    parts = max(1, math.ceil(n * BITS_EACH / filter_bits))
-    bits = min(filter_bits, 1 << max(10, math.ceil(math.log2(max(1, n * BITS_EACH / parts)))))
-    schema = "row_key bigint, low bigint, n int, lead int, trigger bigint, phrase bigint, content binary"
-    picked = []
-    for no in range(parts):
-        # as of unsigned numbers, which is what the tasks compare
-        part = F.pmod(F.pmod("trigger", F.lit(parts)) + F.when(F.col("trigger") < 0, (1 << 64) % parts).otherwise(0), F.lit(parts)) == no
-        filters = _filters(again, part, bits)
-        picked.append(rows.select("row_key", "_text").mapInArrow(_select_phrases(filters, parts, no, bits), schema))
-    found = scratch.keep(reduce(DataFrame.unionByName, picked), "phrases")
+    found = scratch.keep(parse.join(again, "trigger"), "phrases")
+    scratch.discard(parse, again)
+
+    one = ["trigger", "n", "lead", "row_key", "low"]
+    places = found.filter("several").groupBy("phrase").agg(*(F.first(c).alias(c) for c in one))
+    wanted = places.groupBy("row_key").agg(F.collect_list(F.struct("trigger", "phrase", "n", "lead", "low")).alias("wanted"))
+    wanted = scratch.keep(wanted, "wanted")
+    content = rows.select("row_key", "_text").join(wanted, "row_key").select("_text", "wanted")
+    content = content.mapInArrow(_contents, "trigger bigint, phrase bigint, n int, lead int, content binary")
+    dictionary = scratch.keep(content.dropDuplicates(["phrase"]), "dictionary")  # equal rows give the same phrases
+    scratch.discard(wanted)
 
     times = found.groupBy("phrase").agg(F.count("*").alias("times"), F.first("n").alias("n")).filter("times > 1")
     whole = times.select("phrase", F.lit(0).cast("bigint").alias("first"), (F.col("n") - 1).cast("bigint").alias("last"))
-    dictionary = found.filter("content IS NOT NULL").select("trigger", "phrase", "n", "lead", "content").dropDuplicates(["phrase"])
-    dictionary = scratch.keep(dictionary, "dictionary")
     sizes = dictionary.groupBy("trigger").agg(F.count("*").alias("size")).filter("size > 1")
     sized = dictionary.join(sizes, "trigger")
     small = sized.filter(F.col("size") <= group).drop("size").repartition("trigger").sortWithinPartitions("trigger")
@@ -258,9 +217,9 @@ def repeated_spans(rows: DataFrame, group: int = GROUP, filter_bits: int = FILTE
     single = strings.join(met, "string").select("phrase", "first", F.col("first").alias("last"))
 
     starts = whole.unionByName(ordered).unionByName(single)
-    placed = found.select("row_key", "low", "phrase").join(starts, "phrase")
+    placed = found.select("row_key", "low", "phrase").join(starts, "phrase")  # equal rows, however many, have one set
     return placed.groupBy("row_key").agg(
-        F.collect_list(F.struct((F.col("low") + F.col("first")).alias("a"), (F.col("low") + F.col("last") + LENGTH).alias("b"))).alias("spans")
+        F.collect_set(F.struct((F.col("low") + F.col("first")).alias("a"), (F.col("low") + F.col("last") + LENGTH).alias("b"))).alias("spans")
     )
 
 
@@ -292,7 +251,7 @@ def _remove(keep: list[str]):
 
 
 def remove_repeats(
-    docs: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text", group: int = GROUP, filter_bits: int = FILTER_BITS
+    docs: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text", group: int = GROUP
 ) -> DataFrame:
     """``keep``, n_bytes, n_removed, n_spans, kept_sha256 and kept_text of every document.
 
@@ -305,7 +264,7 @@ def remove_repeats(
     empty table gives an empty result.
     """
     rows = docs.select(*keep, F.xxhash64(F.col(key), F.col(text)).alias("row_key"), F.col(text).alias("_text"))
-    spans = repeated_spans(rows.select("row_key", "_text"), group, filter_bits)
+    spans = repeated_spans(rows.select("row_key", "_text"), group)
     joined = rows.join(spans, "row_key", "left").drop("row_key")
     kinds = [f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in keep]
     schema = ", ".join([*kinds, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"])
