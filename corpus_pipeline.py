@@ -21,7 +21,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a language: those without a letter, empty or NULL are rejected."""
+    """Keep documents in a language: those without a letter, empty or NULL are rejected.
+
+    No least score rejects others: the lowest scores are those of short or mixed documents of
+    good quality. Rows without key, label or source, and repeated rows, stay as they are.
+    """
     prepare(spark)
     return identify(docs, train(docs), COLUMNS).filter(F.col("lang_pred") != "und").select(*COLUMNS)
 
@@ -49,7 +53,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated passages out of every text; documents of which nothing is left go."""
+    """Cut repeated passages out of every text; documents of which nothing is left go.
+
+    NULL and empty texts, and those shorter than a passage, stay; equal rows cut each other.
+    """
     prepare(spark)
     cut = remove_repeats(docs, ["doc_id", "lang", "source"]).withColumnRenamed("kept_text", "text")
     kept = cut.filter((F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0))
@@ -57,7 +64,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat each document as often as the mix takes it; the one that a source's budget cuts stays whole."""
+    """Repeat each document as often as the mix takes it; the one that a source's budget cuts stays whole.
+
+    A NULL source is a source of its own; documents without words are not taken.
+    """
     prepare(spark)
     mixed = mix(docs, COLUMNS)
     times = F.ceil(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
@@ -66,7 +76,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what the mix holds into sequences of 2048 tokens."""
+    """Pack what the mix holds into sequences of 2048 tokens; a NULL or empty text is its end id alone."""
     prepare(spark)
     return pack(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
 
@@ -79,7 +89,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-# Networks, suffix order and tokenizers have no SQL; tests hold each stage against a brute-force version.
+# Networks, suffix order and tokenizers have no SQL; tests/llm/test_pipeline_stages.py and
+# test_jaccard_sets.py hold each stage against a brute-force version.
 ORACLE_SQL: str | None = None
 
 
