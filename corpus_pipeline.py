@@ -23,8 +23,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language: those without a letter, empty or NULL are rejected.
 
-    No least score rejects others: the lowest scores are those of short or mixed documents of
-    good quality. Rows without key, label or source, and repeated rows, stay as they are.
+    No least score rejects others, as most documents of the lowest scores are of good quality. Rows without key, label or source, and repeated rows, stay as they are.
     """
     prepare(spark)
     return identify(docs, train(docs), COLUMNS).filter(F.col("lang_pred") != "und").select(*COLUMNS)
