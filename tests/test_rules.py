@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import brute
 from conftest import master_lines
-from pannier.operators import itemsets, rules
+from pannier.operators import itemsets, ranking, rules
+from pannier.plans import catalog
 
 CARTS = {1: ["a", "b"], 2: ["a", "b", "c"], 3: ["a"], 4: ["b", "c", "b"], 5: ["d"]}
 
@@ -175,3 +176,36 @@ def test_a_long_itemset_is_not_split_in_all_ways(spark):
 
 def test_rules_of_no_itemsets(spark):
     assert rules.association_rules(spark.createDataFrame([], "items array<string>, size int, freq bigint, support double")).count() == 0
+
+
+def _many_alike(spark):
+    """Six names whose rules repeat the same sides, as general rules do that stand for their smallest names."""
+    rng = random.Random(5)
+    lines = [(o, n, "abcdef".index(n), at) for o in range(60) for at, n in enumerate(rng.sample("abcdef", rng.randint(1, 6)), 1)]
+    found = [(rng.choice("abc"), rng.choice("cdef"), rng.random(), rng.choice([0.2, 0.4, 0.6]), rng.choice([0.9, 1.1])) for _ in range(300)]
+    found = [(a, b, "abcdef".index(b), *rest) for a, b, *rest in found if a != b]
+    lines = spark.createDataFrame(lines, "order_id long, product_name string, product_id long, add_to_cart_order int")
+    return lines, spark.createDataFrame(found, "antecedent string, consequent string, recommended_product_id long, support double, confidence double, lift double")
+
+
+def _rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_general_queries_expand_lines_by_the_rules_they_need(spark, monkeypatch):
+    lines, mined = _many_alike(spark)
+    monkeypatch.setattr(catalog, "_general_rules", lambda *_: (lines, mined))
+    expanded, whole = [], catalog._general_candidates
+    monkeypatch.setattr(catalog, "_general_candidates", lambda ls, some: expanded.append(some.count()) or whole(ls, some))
+    every = whole(lines, mined)
+    counted = every.groupBy("trigger_product_id", "recommended_product_id").agg(
+        F.count("*").alias("n"), F.sum("label").alias("positives"), F.round(F.max("lift"), 9).alias("max_lift")
+    )
+    assert _rows(catalog.candidates_general_rules(spark, "")) == _rows(counted)
+    top = ranking.top_k(every, 5, "confidence")
+    columns = [*ranking.GROUP, "rank", "recommended_product_id", F.round("confidence", 9).alias("confidence"), "label"]
+    assert _rows(catalog.ranked_general_rules(spark, "")) == _rows(top.select(*columns))
+    first = ranking.first_recommendations(every).withColumn("confidence", F.round("confidence", 9))
+    assert _rows(catalog.first_general_rules(spark, "")) == _rows(first)
+    pairs = mined.select("antecedent", "consequent").distinct().count()
+    assert expanded == [pairs, 15, pairs]  # of some 300 rules; 3 antecedents of 5 rules each
