@@ -7,6 +7,7 @@ from pannier.operators import candidates as cand
 from pannier.operators import rules
 from pannier.operators.prepare import CardinalityError
 from pannier.sources.schemas import CANDIDATES
+from pannier.sources.scratch import Scratch
 
 RULES = "antecedent string, consequent string, support double, confidence double, lift double"
 
@@ -106,3 +107,15 @@ def test_an_order_below_no_threshold_takes_several_tasks(spark):
     found = cand.expand_and_look_up(master_lines(spark, carts), _rules(spark, pairs), 10_000)
     rows = found.filter("order_id = 1").groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(rows) > 3 and sum(r["count"] for r in rows) == 9_999 * 20
+
+
+def test_candidates_are_not_sorted_to_find_their_outcome(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    lines = master_lines(spark, {1: ["a", "b", "c"], 2: ["b", "a", "b"]})
+    pairs = Scratch.of(spark).keep(_rules(spark, [("a", "b"), ("b", "c"), ("b", "a")]), "pairs")
+    found = cand.expand_and_look_up(lines, F.broadcast(pairs))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert "BroadcastHashJoin" in joins[0] and "SortMergeJoin" in "".join(joins[1:])  # expanded last
+    rows = sorted((r.order_id, r.product_name, r.consequent, r.actual_add_to_cart_order or 0) for r in found.collect())
+    assert rows == [(1, "a", "b", 2), (1, "b", "a", 1), (1, "b", "c", 3), (2, "a", "b", 3)] + [(2, "b", "a", 2)] * 2 + [(2, "b", "c", 0)] * 2
