@@ -5,6 +5,7 @@ from conftest import SMALL
 from pannier.operators import metrics, model
 from pannier.plans.catalog import stages
 from pannier.sources.schemas import CANDIDATES
+from pannier.sources.scratch import Scratch
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +42,13 @@ def test_ranker_learns_and_unseen_categories_score(spark, split):
 def test_decision_is_inclusive(spark):
     df = spark.createDataFrame([(0.5,), (0.499,)], "score double")
     assert [r.prediction for r in model.decide(df).orderBy("score").collect()] == [0, 1]
+
+
+def test_sample_is_picked_by_all_tasks(spark, split, monkeypatch):
+    """Only the rows of the sample pass through the few tasks that write the training rows."""
+    train = model.features(split[0]).repartition(6)
+    kept, keep = {}, Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, label, *rest: kept.update({label: df.rdd.getNumPartitions()}) or keep(self, df, label, *rest))
+    n = train.count() // 2
+    model.fit_ranker(train, max_iter=1, max_depth=2, max_train_rows=n)
+    assert kept["training-rows"] == 1 < kept["training-sample"]
