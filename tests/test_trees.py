@@ -1,11 +1,15 @@
 """Compiled trees against the model they come from, in Spark and as SQL elsewhere."""
 
+import subprocess
+import sys
+
 import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 
-from pannier.operators import model, trees
+from pannier.operators import masks, model, trees
 
 COLUMNS = [*model.CATEGORICAL, *model.NUMERIC]
 
@@ -61,3 +65,37 @@ def test_odd_ensembles(spark):
         trees.read_ensemble("Tree 0 (weight 1.0):\n  nothing", COLUMNS, {})
     named = trees.Split("who", trees.Leaf(1.0), trees.Leaf(2.0), values=("o'neil", "b"))
     assert trees.Ensemble(((1.0, named),)).margin().startswith("CASE WHEN who IN ('o''neil', 'b')")
+
+
+@pytest.mark.parametrize("depth", [1, 5, 6])
+def test_masks_score_as_spark_ml_does(spark, monkeypatch, depth):
+    """Also on unseen and missing values and at thresholds; rows are walked through the trees only where those are too large."""
+    train = _frame(np.random.default_rng(5), 3000, [1, 2, 3, 4])
+    fitted = model.fit_ranker(model.features(spark.createDataFrame(train)), max_iter=30, step_size=0.3, max_depth=depth)
+    rows = pd.concat([train[:900], _frame(np.random.default_rng(6), 1500, [1, 2, 3, 77])]).astype(object)
+    for at in range(0, len(rows), 7):
+        rows.iloc[at, at % len(COLUMNS)] = None
+    rows["n"] = range(len(rows))
+    schema = ", ".join([*(f"{c} bigint" for c in model.CATEGORICAL), *(f"{c} double" for c in model.NUMERIC), "label bigint", "n bigint"])
+    frame = spark.createDataFrame([tuple(r) for r in rows.itertuples(index=False)], schema)
+    plain = fitted.transform(model.features(frame, ["n"])).select("n", model.vector_to_array("probability")[1].alias("score"))
+    expected = dict(plain.collect())
+    assert (masks.masks_of_model(fitted) is None) == (depth == 6)
+    walked, transform = [], type(fitted).transform
+    monkeypatch.setattr(type(fitted), "transform", lambda self, *rest: walked.append(1) or transform(self, *rest))
+    found = dict(model.score(fitted, frame).select("n", "score").collect())
+    assert bool(walked) == (depth == 6) and found.keys() == expected.keys()
+    assert max(abs(found[n] - expected[n]) for n in found) < 1e-14
+
+
+def test_no_rows_and_lone_leaves_score(spark):
+    leaf = masks.masks_of(trees.Ensemble(((1.0, trees.Leaf(0.5)), (0.5, trees.Leaf(-1.0)))), ["a"], {})
+    assert leaf.scorer()(pd.Series(np.zeros(3))).tolist() == [0.5] * 3 and leaf.scorer()(pd.Series(np.zeros(0))).size == 0
+    assert masks.masks_of(trees.Ensemble(()), ["a"], {}) is None
+
+
+def test_tasks_score_without_this_package(fitted):
+    """Executors need numpy and pandas only."""
+    pickled = cloudpickle.dumps(masks.masks_of_model(fitted).scorer())
+    code = f"import pickle, pandas as pd; print(len(pickle.loads({pickled!r})(*[pd.Series([0.0, 1.0])] * {len(COLUMNS)})))"
+    assert subprocess.run([sys.executable, "-c", code], cwd="/", env={}, capture_output=True, text=True).stdout == "2\n"
