@@ -216,13 +216,13 @@ class RTree:
         self.nodes.append((rows, high, int(sizes.min()), int(sizes.max()), only, children))
         return len(self.nodes) - 1
 
-    def pairs(self, fine: bool, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def pairs(self, fine: bool, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Rows (a, b) of different components that may be linked, and the bound of their similarity.
 
         With ``fine``, pairs are also held against the bound of all groups. Where rows have two
         sides, pairs of one side are left out.
         """
-        crossing = len(side) > 0 and bool((side != side[0]).any())
+        crossing = side is not None and len(side) > 0 and bool((side != side[0]).any())
         stack = [(self.root, self.root)]
         while stack:
             one, two = stack.pop()
