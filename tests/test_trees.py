@@ -99,3 +99,16 @@ def test_tasks_score_without_this_package(fitted):
     pickled = cloudpickle.dumps(masks.masks_of_model(fitted).scorer())
     code = f"import pickle, pandas as pd; print(len(pickle.loads({pickled!r})(*[pd.Series([0.0, 1.0])] * {len(COLUMNS)})))"
     assert subprocess.run([sys.executable, "-c", code], cwd="/", env={}, capture_output=True, text=True).stdout == "2\n"
+
+
+def test_masks_are_combined_for_rows_side_by_side(fitted):
+    """Inputs that rows share are combined once for all of them, and any layout of the rows scores alike."""
+    rows = _frame(np.random.default_rng(7), 20_000, [1, 2, 3])[COLUMNS]
+    rows[model.CATEGORICAL] %= 3  # as codes
+    shared = rows.assign(**{c: rows[c].iloc[np.arange(len(rows)) // 500 * 500].to_numpy() for g in masks.TOGETHER for c in g})
+    found = masks.masks_of_model(fitted)
+    assert sorted(i for group in found.together for i in group) == list(range(len(COLUMNS))) and len(found.together) == 3
+    for frame in (rows, shared):
+        scores = found.scorer()(*(frame[c] for c in COLUMNS))
+        one_by_one = [found.scorer()(*(frame[c].iloc[at : at + 1] for c in COLUMNS))[0] for at in range(0, len(frame), 400)]
+        assert scores[::400].tolist() == one_by_one and len(set(one_by_one)) > 10
