@@ -17,7 +17,7 @@ from pannier.operators import metrics, model
 from pannier.operators.prepare import product_catalogue
 from pannier.operators.ranking import best_bundle, ranked_recommendations, top_k
 from pannier.operators.rules import generate_rules, one_to_one
-from pannier.plans.catalog import MAX_TRAIN_ROWS, REQUEST, requests
+from pannier.plans.catalog import REQUEST, requests
 from pannier.plans.stages import Stages
 from pannier.session import local_session
 from pannier.sources.scratch import Scratch
@@ -43,7 +43,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - start, 3)
         return result
 
-    st = Stages(spark, lambda: star_tables(spark, folder), max_train_rows=MAX_TRAIN_ROWS)
+    st = Stages(spark, lambda: star_tables(spark, folder))
     timed("clean_tables", lambda: dict(st.tables))
     timed("master_orders", lambda: st.master)
     timed("pair_rules", lambda: [st.rules("train"), st.rules("test")])
